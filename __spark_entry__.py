@@ -1,10 +1,10 @@
 """Registered queries and the SQL each is checked against.
 
 Every query works on the whole ``events`` table, read as sensor readings (see
-``gaugeflow.plans.event_readings``). Queries named after a stream or a table
-run on data that Spark wrote: the readings are published once per session and
-data folder as topic segments, and streamed once into a wide table; both live
-under the session's shared folder.
+``gaugeflow.plans.event_readings``). The readings are published once per
+session and data folder as topic segments, and streamed once into a wide
+table; both live under the session's shared folder, and most queries start
+from one of them. Queries that publish or ingest themselves do so on each call.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from gaugeflow.plans.event_readings import (
     reading_lines,
 )
 from gaugeflow.plans.jobs import latest_readings, publish_files, write_daily_stats
-from gaugeflow.schemas import ID_FIELDS, MEASURES, STATISTICS, STATS_RENAMES
+from gaugeflow.schemas import ID_FIELDS, MEASURES, STATISTICS, STATS_RENAMES, TOPIC
 from gaugeflow.session import shared_folder
 from gaugeflow.sources.topic import keyed_records, publish, read_topic
 from gaugeflow.streaming import (
@@ -78,17 +78,24 @@ class Prepared:
         """A folder no other call uses."""
         return f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
 
-    def stream(self) -> DataFrame:
-        """The topic as a stream, one published segment per micro-batch."""
+    def topic_files(self) -> int:
+        """Publish the topic if need be; the number of files per segment."""
         if self._files is None:
             self._files = publish_in_segments(
-                self.spark, self.sf_dir, f"{self.root}/topics", "sensor", SEGMENTS
+                self.spark, self.sf_dir, f"{self.root}/topics", TOPIC, SEGMENTS
             )
+        return self._files
+
+    def records(self) -> DataFrame:
+        """The whole topic as one batch."""
+        self.topic_files()
+        return read_topic(self.spark, f"{self.root}/topics")
+
+    def stream(self) -> DataFrame:
+        """The topic as a stream, one published segment per micro-batch."""
+        files = self.topic_files()
         return read_topic(
-            self.spark,
-            f"{self.root}/topics",
-            streaming=True,
-            files_per_batch=self._files,
+            self.spark, f"{self.root}/topics", streaming=True, files_per_batch=files
         )
 
     def new_table(self, name: str, by_arrival: bool = False) -> WideTable:
@@ -126,17 +133,13 @@ def prepare(spark: SparkSession, sf_dir: str) -> None:
     _prepared(spark, sf_dir).table()
 
 
-# Plans over lines, nothing written
+# Lines of the events table
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reading_lines(event_readings(spark, sf_dir))
 
 
-def _sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_sensor(_lines(spark, sf_dir), keep=("offset",))
-
-
 def q_publish_lines(spark, sf_dir):
     return keyed_records(_lines(spark, sf_dir)).select("offset", "key", "value")
 
@@ -149,6 +152,17 @@ def q_key_partitions(spark, sf_dir):
     )
 
 
+def q_daily_stats_plan(spark, sf_dir):
+    return daily_stats(sensor_rows(latest_readings(_lines(spark, sf_dir))))
+
+
+# The topic as one batch
+
+
+def _sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_sensor(_prepared(spark, sf_dir).records(), keep=("offset",))
+
+
 def q_parse_sensor(spark, sf_dir):
     return _sensor(spark, sf_dir)
 
@@ -196,11 +210,7 @@ def q_alerts(spark, sf_dir):
 
 
 def q_latest_readings(spark, sf_dir):
-    return latest_readings(_lines(spark, sf_dir))
-
-
-def q_daily_stats_plan(spark, sf_dir):
-    return daily_stats(sensor_rows(latest_readings(_lines(spark, sf_dir))))
+    return latest_readings(_prepared(spark, sf_dir).records())
 
 
 # Topics
@@ -209,7 +219,7 @@ def q_daily_stats_plan(spark, sf_dir):
 def q_publish_topic(spark, sf_dir):
     """Publish the whole table again and read the records back."""
     root = _prepared(spark, sf_dir).scratch("topics")
-    publish_in_segments(spark, sf_dir, root, "sensor", SEGMENTS)
+    publish_in_segments(spark, sf_dir, root, TOPIC, SEGMENTS)
     return read_topic(spark, root).select("topic", "offset", "key", "value")
 
 
@@ -218,7 +228,7 @@ def q_publish_files(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
     files, root = prepared.scratch("lines"), prepared.scratch("topics")
     _lines(spark, sf_dir).select("value").write.text(files)
-    publish_files(spark, files, root, "sensor")
+    publish_files(spark, files, root, TOPIC)
     return read_topic(spark, root).select("key", "value")
 
 

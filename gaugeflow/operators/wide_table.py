@@ -69,14 +69,7 @@ class WideTable:
     def truncate(self) -> None:
         """Empty every family; also creates a table that is not there yet."""
         for family in FAMILIES:
-            schema = StructType(self._schema(family).fields + storage.RUN_AND_BATCH)
-            (
-                self.spark.createDataFrame([], schema)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "static")
-                .partitionBy("run", "batch")
-                .parquet(self.folder(family))
-            )
+            storage.clear(self.spark, self.folder(family))
 
     # Writing
 

@@ -28,6 +28,13 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def clear(spark: SparkSession, path: str) -> None:
+    """Leave an empty folder at ``path``, whatever was there."""
+    fs, hadoop_path = _open(spark, path)
+    fs.delete(hadoop_path, True)
+    fs.mkdirs(hadoop_path)
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes below ``path``; zero if it is missing."""
     fs, hadoop_path = _open(spark, path)

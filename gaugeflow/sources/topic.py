@@ -44,7 +44,7 @@ def keyed_records(lines: DataFrame, partitions: int = TOPIC_PARTITIONS) -> DataF
 def _next_offset(spark: SparkSession, folder: str, segments: list[int]) -> int:
     """One past the largest offset; later segments hold larger offsets."""
     for segment in reversed(segments):
-        records = spark.read.parquet(f"{folder}/segment={segment}")
+        records = spark.read.schema(TOPIC_RECORD).parquet(f"{folder}/segment={segment}")
         (last,) = records.agg(F.max("offset")).first()
         if last is not None:
             return last + 1

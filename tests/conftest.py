@@ -15,6 +15,8 @@ def spark(tmp_path_factory):
         **{
             "spark.master": "local[8]",
             "spark.driver.memory": "4g",
+            # Short jobs: quick compilation beats well optimised code.
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
