@@ -100,7 +100,7 @@ class Prepared:
 
     def new_table(self, name: str, by_arrival: bool = False) -> WideTable:
         table = WideTable(self.spark, self.scratch(name), by_arrival)
-        table.truncate()
+        table.create()
         return table
 
     def ingest(self, table: WideTable, run: str = "first") -> WideTable:

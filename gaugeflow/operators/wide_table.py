@@ -66,10 +66,16 @@ class WideTable:
             + [StructField("version", LongType())]
         )
 
+    def create(self) -> None:
+        """Make the families' folders; a table that is there stays as it is."""
+        for family in FAMILIES:
+            storage.make(self.spark, self.folder(family))
+
     def truncate(self) -> None:
-        """Empty every family; also creates a table that is not there yet."""
+        """Empty every family."""
         for family in FAMILIES:
-            storage.clear(self.spark, self.folder(family))
+            storage.delete(self.spark, self.folder(family))
+        self.create()
 
     # Writing
 

@@ -28,10 +28,8 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def clear(spark: SparkSession, path: str) -> None:
-    """Leave an empty folder at ``path``, whatever was there."""
+def make(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _open(spark, path)
-    fs.delete(hadoop_path, True)
     fs.mkdirs(hadoop_path)
 
 

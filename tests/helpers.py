@@ -22,7 +22,7 @@ def send(spark, root, lines, topic="sensor", **options):
 
 def table(spark, root, by_arrival=False):
     made = WideTable(spark, str(root), by_arrival)
-    made.truncate()
+    made.create()
     return made
 
 
