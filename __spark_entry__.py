@@ -3,8 +3,8 @@
 Every query works on the whole ``events`` table, read as sensor readings (see
 ``gaugeflow.plans.event_readings``). The readings are published once per
 session and data folder as topic segments, and streamed once into a wide
-table; both live under the session's shared folder, and most queries start
-from one of them. Queries that publish or ingest themselves do so on each call.
+table; both live under the session's shared folder until the session's JVM
+ends, and most queries start from one of them. Queries that publish or ingest themselves do so on each call.
 """
 
 from __future__ import annotations
@@ -41,6 +41,7 @@ from gaugeflow.plans.event_readings import (
 from gaugeflow.plans.jobs import latest_readings, publish_files, write_daily_stats
 from gaugeflow.schemas import ID_FIELDS, MEASURES, STATISTICS, STATS_RENAMES, TOPIC
 from gaugeflow.session import shared_folder
+from gaugeflow.sources import storage
 from gaugeflow.sources.topic import keyed_records, publish, read_topic
 from gaugeflow.streaming import (
     REPORT,
@@ -123,7 +124,8 @@ _PREPARED: dict[tuple[str, str], Prepared] = {}
 def _prepared(spark: SparkSession, sf_dir: str) -> Prepared:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PREPARED:
-        root = f"{shared_folder(spark)}/gaugeflow/{uuid.uuid4().hex[:12]}"
+        root = f"{shared_folder(spark)}/gaugeflow-{uuid.uuid4().hex[:12]}"
+        storage.make_temporary(spark, root)
         _PREPARED[key] = Prepared(spark, sf_dir, root)
     return _PREPARED[key]
 

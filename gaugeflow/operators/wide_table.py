@@ -106,7 +106,7 @@ class WideTable:
         self._put(alerts.hint("rebalance"), "alert", run, batch)
 
     def put_stats(self, stats: DataFrame, version: int | None = None) -> int:
-        """Upsert daily statistics as a new version and return its number.
+        """Upsert statistics by day key as a new version and return its number.
 
         Days that the statistics do not mention keep their older rows.
         """
@@ -184,15 +184,17 @@ class WideTable:
     def scan_wide(self, limit: int | None = None) -> DataFrame:
         """Whole rows in row-key order, cells prefixed with their family."""
         families = list(FAMILIES)
-        rows = [
+        data, alert, stats = (
             frame.select(
                 "rowkey",
                 *[F.col(c).alias(f"{family}_{c}") for c in FAMILIES[family]],
             )
             for family, frame in zip(families, self._scan(families, limit))
-        ]
-        wide = reduce(lambda a, b: a.join(b, "rowkey", "full_outer"), rows)
-        wide = wide.orderBy("rowkey")
+        )
+        # Data and alerts are partitioned by row key already. A statistics key
+        # has no space and so never meets theirs: rows to add, not to join.
+        rows = data.join(alert, "rowkey", "full_outer")
+        wide = rows.unionByName(stats, allowMissingColumns=True).orderBy("rowkey")
         return wide if limit is None else wide.limit(limit)
 
     # Maintenance

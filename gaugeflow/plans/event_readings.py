@@ -10,7 +10,7 @@ from gaugeflow.sources.topic import publish
 def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One reading per event; all measures are multiples of 1/16, so sums are exact."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    sixteenths = {
+    measures = {
         "hz": F.floor(F.col("value") * 16) / F.lit(16.0),
         "disp": F.get_json_object("props", "$.k").cast("double") / F.lit(8.0),
         "flo": (F.col("event_id") % 1000).cast("double"),
@@ -21,9 +21,18 @@ def event_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select(
         F.col("event_id").alias("offset"),
         F.concat(F.lit("P"), (F.col("user_id") % 10).cast("string")).alias("resid"),
-        F.date_format("ts", "M/d/yy").alias("date"),
-        F.date_format("ts", "H:mm").alias("time"),
-        *[sixteenths[measure].alias(measure) for measure in MEASURES],
+        F.concat_ws(
+            "/",
+            F.month("ts").cast("string"),
+            F.day("ts").cast("string"),
+            F.lpad((F.year("ts") % 100).cast("string"), 2, "0"),
+        ).alias("date"),
+        F.concat_ws(
+            ":",
+            F.hour("ts").cast("string"),
+            F.lpad(F.minute("ts").cast("string"), 2, "0"),
+        ).alias("time"),
+        *[measures[measure].alias(measure) for measure in MEASURES],
     )
 
 

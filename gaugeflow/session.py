@@ -1,8 +1,6 @@
 """Session defaults, the shared scratch folder and shuffle sizing."""
 
-import atexit
 import math
-import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -33,8 +31,7 @@ def get_session(app_name: str = "gaugeflow", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local master may go without the setting; it gets a temporary folder
-    that is removed when Python exits.
+    Only a local master may go without the setting; it gets a temporary folder.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -42,10 +39,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="gaugeflow-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    folder = storage.make_temporary(spark, tempfile.mkdtemp(prefix="gaugeflow-"))
     context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+    return folder
 
 
 def size_shuffle(spark: SparkSession, *paths: str) -> int:

@@ -9,6 +9,10 @@ from gaugeflow.sources.topic import keyed_records, topic_names
 # Fixed value: how long one poll waits for records.
 POLL_TIMEOUT_MS = 1000
 
+# Equal keys share a topic partition, so a busy sensor makes a long one; it is
+# read by several tasks of at most this many records.
+RECORDS_PER_TASK = 1_000_000
+
 
 def read_options(
     brokers: str, topics: str, streaming: bool, records_per_batch: int | None = None
@@ -19,6 +23,7 @@ def read_options(
         "subscribe": ",".join(topic_names(topics)),
         "startingOffsets": "earliest",
         "kafkaConsumer.pollTimeoutMs": str(POLL_TIMEOUT_MS),
+        "maxRecordsPerPartition": str(RECORDS_PER_TASK),
     }
     if not streaming:
         options["endingOffsets"] = "latest"

@@ -33,6 +33,14 @@ def make(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
+def make_temporary(spark: SparkSession, path: str) -> str:
+    """Make a folder that goes away when the driver's JVM ends."""
+    fs, hadoop_path = _open(spark, path)
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
+    return path
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes below ``path``; zero if it is missing."""
     fs, hadoop_path = _open(spark, path)

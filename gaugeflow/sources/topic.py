@@ -82,7 +82,7 @@ def publish(
         "key", "value", "partition", "offset", F.current_timestamp().alias("timestamp")
     )
     if files is not None:
-        records = records.repartition(files)
+        records = records.repartition(files, "offset")
     records.write.mode("overwrite").parquet(f"{folder}/segment={segment}")
     return segment
 

@@ -9,7 +9,7 @@ from gaugeflow.session import get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = get_session(
         "gaugeflow-tests",
         **{
@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
             "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.showConsoleProgress": "false",
-            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("OFF")

@@ -88,16 +88,13 @@ def test_limited_scan_filters_files_by_key(made):
     assert "TakeOrderedAndProject" in text
 
 
-def test_wide_scan_joins_without_broadcast_of_families(spark, made):
-    threshold = "spark.sql.autoBroadcastJoinThreshold"
+def test_wide_scan_joins_in_place(made):
     text = plan(made.scan_wide())
-    assert "CartesianProduct" not in text and "BroadcastNestedLoop" not in text
-    assert threshold not in text
-    assert text.count("SortMergeJoin") == 2
-    # One shuffle per family and at most the ordering's own: the joins reuse
-    # the aggregates' partitioning by row key.
-    hashed = text.count("Exchange hashpartitioning")
-    assert hashed <= 4
+    assert "CartesianProduct" not in text and "Broadcast" not in text
+    assert text.count("SortMergeJoin") == 1
+    # One shuffle per family: the join reuses the aggregates' partitioning.
+    assert text.count("Exchange hashpartitioning") == 3
+    assert text.count("Exchange rangepartitioning") == 1
 
 
 def test_previews_are_top_k(made):

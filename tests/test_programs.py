@@ -1,5 +1,6 @@
 """The command line, end to end."""
 
+import pytest
 from helpers import line, rows
 
 from gaugeflow.__main__ import main
@@ -48,8 +49,25 @@ def test_programs(spark, tmp_path, capsys):
     assert made.scan_wide().isEmpty()
 
 
-def test_shared_folder_is_the_session_setting(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+class ClusterSession:
+    """The parts of a cluster's session that name the shared folder."""
+
+    master = "spark://host:7077"
+
+    def __init__(self, conf):
+        self.conf = conf
+        self.sparkContext = self
+
+    def getCheckpointDir(self):
+        return None
+
+
+def test_shared_folder():
+    session = ClusterSession({"spark.checkpoint.dir": "/shared/folder/"})
+    assert shared_folder(session) == "/shared/folder"
+    session = ClusterSession({})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session)
 
 
 def test_shuffle_grows_with_the_input(spark, tmp_path):

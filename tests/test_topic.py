@@ -92,5 +92,7 @@ def test_kafka_options():
     assert stream["startingOffsets"] == "earliest"
     assert stream["maxOffsetsPerTrigger"] == "10"
     assert "endingOffsets" not in stream
+    # A busy key's topic partition is split over tasks.
+    assert int(stream["maxRecordsPerPartition"]) > 0
     batch = read_options("host:9092", "a", streaming=False)
     assert batch["endingOffsets"] == "latest"
