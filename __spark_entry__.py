@@ -374,11 +374,13 @@ def q_scan_wide_5(spark, sf_dir):
     return _prepared(spark, sf_dir).table().scan_wide(5)
 
 
-def q_replayed_alerts(spark, sf_dir):
+def q_replayed_table(spark, sf_dir):
     """The whole topic twice, the second time from a new checkpoint."""
     prepared = _prepared(spark, sf_dir)
     table = prepared.ingest(prepared.new_table("table"), "run-1")
-    return prepared.ingest(table, "run-2").family("alert")
+    prepared.ingest(table, "run-2")
+    cells = [f"data_{measure}" for measure in MEASURES]
+    return table.scan_wide().select("rowkey", *cells, "alert_psi")
 
 
 def q_compacted_data(spark, sf_dir):
@@ -579,13 +581,16 @@ _SELECTS = {
     "scan_stats_50": "SELECT * FROM stats ORDER BY rowkey LIMIT 50",
     "scan_wide": "SELECT * FROM wide ORDER BY rowkey",
     "scan_wide_5": "SELECT * FROM wide ORDER BY rowkey LIMIT 5",
-    "replayed_alerts": "SELECT * FROM alert",
+    "replayed_table": f"""
+        SELECT rowkey, {", ".join(f"data.{m} AS data_{m}" for m in MEASURES)},
+               alert.psi AS alert_psi
+        FROM data FULL JOIN alert USING (rowkey) ORDER BY rowkey""",
     "compacted_data": "SELECT * FROM data ORDER BY rowkey",
     "truncate_table": """
         SELECT 'data' AS family, (SELECT count(*) FROM data) AS rows_before,
-               0 AS rows_after
+               CAST(0 AS BIGINT) AS rows_after
         UNION ALL
-        SELECT 'alert', (SELECT count(*) FROM alert), 0""",
+        SELECT 'alert', (SELECT count(*) FROM alert), CAST(0 AS BIGINT)""",
     "sensor_rows": "SELECT * FROM sensor_row",
     "avg_psi_by_day": "SELECT rowkey, avgpsi FROM daily",
     "avg_psi_by_day_5": "SELECT rowkey, avgpsi FROM daily ORDER BY rowkey LIMIT 5",

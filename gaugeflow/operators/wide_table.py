@@ -36,8 +36,9 @@ _BASE_RUN = "0base"
 _RUN_NAME = re.compile(r"[a-z][a-z0-9_-]*")
 _STATS_RUN = "stats"
 
-# A scan asks for its few keys first; the probe that bounds them reads this many
+# A scan asks for its few keys first; each probe that bounds them reads this many
 # row keys at most, and a larger limit is read without that step.
+_PROBES = 2
 _PROBE_KEYS = 5_000
 _FEW_KEYS = 1_000
 
@@ -137,20 +138,32 @@ class WideTable:
         """Number of rows that have ``data`` cells."""
         return self.versions("data").agg(F.count_distinct("rowkey").alias("rows"))
 
+    def _key_bound(self, family: str, limit: int) -> str | None:
+        """A row key with at least ``limit`` distinct keys up to it, if found.
+
+        Each probe looks at a bounded number of keys below the last bound, so
+        the second one sees few enough to come close to the answer.
+        """
+        bound = None
+        for _ in range(_PROBES):
+            keys = self.versions(family).select("rowkey")
+            if bound is not None:
+                keys = keys.where(F.col("rowkey") < bound)
+            found = sorted({key for (key,) in keys.head(_PROBE_KEYS)})
+            if len(found) < limit:
+                break
+            bound = found[limit - 1]
+        return bound
+
     def _first_keys(self, families: list[str], limit: int) -> DataFrame:
         """The smallest ``limit`` row keys over the given families.
 
-        A bounded look at each family's first rows gives a key with at least
-        ``limit`` distinct keys up to it. All answers lie at or below the
-        smallest such key, so it filters the files before the exact distinct.
-        Without one (fewer keys, or one key repeated) everything is read.
+        All of them lie at or below the smallest bound of a family, so it
+        filters the files before the exact distinct. Without a bound (fewer
+        keys, or one key repeated) every key is read.
         """
-        bounds = []
-        for family in families:
-            probe = self.versions(family).select("rowkey").head(_PROBE_KEYS)
-            keys = sorted({key for (key,) in probe})
-            if len(keys) >= limit:
-                bounds.append(keys[limit - 1])
+        bounds = [self._key_bound(family, limit) for family in families]
+        bounds = [bound for bound in bounds if bound is not None]
         keys = reduce(
             DataFrame.union, [self.versions(f).select("rowkey") for f in families]
         )

@@ -100,6 +100,9 @@ def read_topic(
     path = f"{root}/{{{folders}}}"
     reader = spark.readStream if streaming else spark.read
     reader = reader.schema(_STORED).option("basePath", root)
-    if streaming and files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if streaming:
+        # By default a stream passes over files a week older than the newest.
+        reader = reader.option("maxFileAge", "36500d")
+        if files_per_batch is not None:
+            reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path).select(*TOPIC_RECORD.fieldNames())

@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the given tables."""
 
 import math
+import os
 import re
 from pathlib import Path
 
@@ -9,7 +10,7 @@ import pytest
 
 import __spark_entry__ as contract
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 SELECTS = contract.oracle_sql()
 
 
