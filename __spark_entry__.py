@@ -386,7 +386,7 @@ def q_replayed_table(spark, sf_dir):
 def q_compacted_data(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
     table = prepared.ingest(prepared.new_table("table"))
-    table.compact("data")
+    table.compact("data", idle=True)
     return table.scan_family("data")
 
 

@@ -103,7 +103,7 @@ def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
     families = [args.family] if args.family else list(FAMILIES)
     size_shuffle(spark, *[table.folder(family) for family in families])
     for family in families:
-        table.compact(family)
+        table.compact(family, args.idle)
 
 
 def _truncate(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -172,6 +172,9 @@ def _parser() -> argparse.ArgumentParser:
 
     added = command("compact", _compact, "merge small batches of the table")
     table_options(added)
+    added.add_argument(
+        "--idle", action="store_true", help="no stream runs: merge the newest too"
+    )
     added.add_argument("--family", choices=FAMILIES)
 
     added = command("truncate", _truncate, "empty the table")

@@ -212,34 +212,40 @@ class WideTable:
 
     # Maintenance
 
-    def compact(self, family: str) -> int:
+    def compact(self, family: str, idle: bool = False) -> int:
         """Merge a family's batch folders into one base and return how many.
 
         The base holds the newest versions sorted by row key, so that scans
-        and day filters skip files. It is written before the folders it
+        and key ranges skip files. It is written before the folders it
         replaces are deleted; a job lost in between leaves equal versions
-        twice, which reading merges. Readers that planned before the delete
-        must run again.
+        twice, which reading merges. Each run's newest batch stays, because a
+        stream may be working on it, unless the table is ``idle``. Readers
+        that planned before the delete must run again.
         """
         root = self.folder(family)
-        merged = [
-            f"{root}/{run}/{batch}"
-            for run in storage.folders(self.spark, root)
-            for batch in storage.folders(self.spark, f"{root}/{run}")
-        ]
-        if not merged:
+        merged, bases = [], []
+        for name in storage.folders(self.spark, root):
+            run = name.removeprefix("run=")
+            batches = sorted(
+                int(folder.removeprefix("batch="))
+                for folder in storage.folders(self.spark, f"{root}/{name}")
+            )
+            if run == _BASE_RUN:
+                bases = batches
+            elif not idle:
+                batches = batches[:-1]
+            merged += [storage.batch_folder(root, run, batch) for batch in batches]
+        if len(merged) == len(bases) < 2:
             return 0
         schema = StructType(self._schema(family).fields + storage.RUN_AND_BATCH)
         versions = (
             self.spark.read.schema(schema).option("basePath", root).parquet(*merged)
         )
-        bases = storage.folders(self.spark, f"{root}/run={_BASE_RUN}")
-        number = max((int(name.split("=")[1]) for name in bases), default=-1) + 1
         # The aggregate comes first: it merges a hot key's versions before the
         # range shuffle that would send them all to one task.
         newest = self._newest(versions, (*FAMILIES[family], "version"))
         base = newest.repartitionByRange("rowkey").sortWithinPartitions("rowkey")
-        self._put(base, family, _BASE_RUN, number)
+        self._put(base, family, _BASE_RUN, max(bases, default=-1) + 1)
         for folder in merged:
             storage.delete(self.spark, folder)
         return len(merged)

@@ -35,7 +35,7 @@ def test_programs(spark, tmp_path, capsys):
     main(["stats", *table])
     printed = capsys.readouterr().out
     assert "avgpsi" in printed and "maxchlPPM: double" in printed
-    main(["compact", *table, "--family", "data"])
+    main(["compact", *table, "--family", "data", "--idle"])
     main(["scan", *table, "--limit", "5"])
     assert "stats_hzmax" in capsys.readouterr().out
     main(["scan", *table, "--family", "alert"])

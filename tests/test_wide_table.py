@@ -70,7 +70,7 @@ def test_arrival_order_for_several_topics(spark, tmp_path):
     # A replay under a later run name shows its own values again.
     put(spark, made, [line(psi=1.0)], first_offset=900, run="second", batch=0)
     assert rows(made.family("data"), "psi") == [(1.0,)]
-    made.compact("data")
+    made.compact("data", idle=True)
     assert rows(made.family("data"), "psi") == [(1.0,)]
     put(spark, made, [line(psi=2.0)], first_offset=3, run="second", batch=1)
     assert rows(made.family("data"), "psi") == [(2.0,)]
@@ -145,7 +145,7 @@ def scanned(request, spark, tmp_path_factory):
     write_daily_stats(made)
     if request.param == "compacted":
         for family in ("data", "alert", "stats"):
-            made.compact(family)
+            made.compact(family, idle=True)
     return made, lines
 
 
@@ -211,7 +211,7 @@ def test_stats_versions_grow_over_compaction(spark, tmp_path):
     put(spark, made, [line(psi=1.0)])
     write_daily_stats(made)
     write_daily_stats(made)
-    made.compact("stats")
+    made.compact("stats", idle=True)
     put(spark, made, [line(time="0:01", psi=8.0)], first_offset=1, batch=1)
     assert write_daily_stats(made) == 2
     assert rows(made.family("stats"), "psimax") == [(8.0,)]
@@ -235,15 +235,29 @@ def test_compaction_keeps_the_rows_and_sorts_them(spark, tmp_path):
         part = lines[batch * 200 : batch * 200 + 200]
         put(spark, made, part, first_offset=batch * 200, batch=batch)
     data, alert = brute_force(lines)
-    assert made.compact("data") == 3
-    assert made.compact("alert") == 3
+    assert made.compact("data", idle=True) == 3
+    assert made.compact("alert", idle=True) == 3
     assert made.versions("data").count() == len(data)
     put(spark, made, [line("new")], first_offset=600, batch=3)
-    assert made.compact("data") == 2
+    assert made.compact("data", idle=True) == 2
     assert as_dict(made.family("data")).keys() == {*data, "new_1/1/24 0:00"}
     assert as_dict(made.family("alert")) == {k: (v,) for k, v in alert.items()}
 
 
+def test_compaction_leaves_the_newest_batch_of_a_run(spark, tmp_path):
+    made = table(spark, tmp_path)
+    assert made.compact("data") == 0
+    put(spark, made, [line(time="0:00")], run="run-1", batch=9)
+    assert made.compact("data") == 0
+    put(spark, made, [line(time="0:01")], run="run-1", batch=10)
+    put(spark, made, [line(time="0:02")], run="run-2", batch=0)
+    assert made.compact("data") == 1
+    assert made.compact("data") == 0
+    left = made.versions("data").select("run", "batch").distinct()
+    assert rows(left) == [("0base", 0), ("run-1", 10), ("run-2", 0)]
+    assert made.family("data").count() == 3
+
+
 def test_truncate_then_reload(spark, tmp_path):
     made = table(spark, tmp_path / "table")
     send(spark, tmp_path / "topics", readings(50))
