@@ -42,6 +42,10 @@ _PROBES = 2
 _PROBE_KEYS = 5_000
 _FEW_KEYS = 1_000
 
+# The batches after a base are few if their files are no larger than this; their
+# row keys, well under a million, are then broadcast.
+_SMALL_TAIL_BYTES = 16 * 1024 * 1024
+
 
 @dataclass(frozen=True)
 class WideTable:
@@ -130,13 +134,36 @@ class WideTable:
         order = F.struct("run", "batch", "version") if self.by_arrival else "version"
         return newest(versions, columns, order)
 
+    def _small_tail(self, family: str) -> bool:
+        """Whether one base holds all but a few of the family's rows."""
+        root = self.folder(family)
+        runs = storage.folders(self.spark, root)
+        base = f"run={_BASE_RUN}"
+        if base not in runs or len(storage.folders(self.spark, f"{root}/{base}")) > 1:
+            return False
+        tail = [f"{root}/{run}" for run in runs if run != base]
+        return sum(storage.size(self.spark, run) for run in tail) <= _SMALL_TAIL_BYTES
+
     def family(self, family: str) -> DataFrame:
-        """The family's current rows: the newest version per row key."""
-        return self._newest(self.versions(family), FAMILIES[family])
+        """The family's current rows: the newest version per row key.
+
+        A compacted table's base has one row per key already. While the
+        batches after it are small, only rows under their keys are compared;
+        the rest of the base is read as it is, without a shuffle.
+        """
+        versions, cells = self.versions(family), FAMILIES[family]
+        if not self._small_tail(family):
+            return self._newest(versions, cells)
+        base = versions.where(F.col("run") == _BASE_RUN)
+        tail = versions.where(F.col("run") != _BASE_RUN)
+        keys = F.broadcast(tail.select("rowkey").distinct())
+        settled = base.join(keys, "rowkey", "left_anti").select("rowkey", *cells)
+        contested = base.join(keys, "rowkey", "left_semi").unionByName(tail)
+        return settled.unionByName(self._newest(contested, cells))
 
     def row_count(self) -> DataFrame:
         """Number of rows that have ``data`` cells."""
-        return self.versions("data").agg(F.count_distinct("rowkey").alias("rows"))
+        return self.family("data").agg(F.count(F.lit(1)).alias("rows"))
 
     def _key_bound(self, family: str, limit: int) -> str | None:
         """A row key with at least ``limit`` distinct keys up to it, if found.
@@ -173,19 +200,16 @@ class WideTable:
 
     def _scan(self, families: list[str], limit: int | None) -> list[DataFrame]:
         """Current rows of each family, cut to the first ``limit`` keys if few."""
-        versions = [self.versions(family) for family in families]
-        if limit is not None and limit <= _FEW_KEYS:
-            keys = [key for (key,) in self._first_keys(families, limit).collect()]
-            if not keys:
-                versions = [frame.limit(0) for frame in versions]
-            else:
-                # The range prunes files, the list picks the rows.
-                wanted = F.col("rowkey").between(keys[0], keys[-1])
-                wanted &= F.col("rowkey").isin(keys)
-                versions = [frame.where(wanted) for frame in versions]
+        if limit is None or limit > _FEW_KEYS:
+            return [self.family(family) for family in families]
+        keys = [key for (key,) in self._first_keys(families, limit).collect()]
+        if not keys:
+            return [self.family(family).limit(0) for family in families]
+        # The range prunes files, the list picks the rows.
+        wanted = F.col("rowkey").between(keys[0], keys[-1]) & F.col("rowkey").isin(keys)
         return [
-            self._newest(frame, FAMILIES[family])
-            for frame, family in zip(versions, families)
+            self._newest(self.versions(family).where(wanted), FAMILIES[family])
+            for family in families
         ]
 
     def scan_family(self, family: str, limit: int | None = None) -> DataFrame:

@@ -13,11 +13,12 @@ def spark():
     session = get_session(
         "gaugeflow-tests",
         **{
-            "spark.master": "local[8]",
+            "spark.master": "local[4]",
             "spark.driver.memory": "4g",
             # Short jobs: quick compilation beats well optimised code.
             "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "3",
+            "spark.default.parallelism": "2",
             "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -61,6 +61,21 @@ def test_newest_rows_hash_aggregate_before_the_shuffle(made):
     assert "partial_max_by" in text
 
 
+def test_compacted_rows_are_not_shuffled(spark, tmp_path):
+    made = table(spark, tmp_path)
+    for batch in range(3):
+        lines = frame(spark, [line(f"s{i}") for i in range(9)], offsets=True)
+        made.put_readings(parse_sensor(lines, keep=("offset",)), "first", batch)
+    made.compact("data")
+    text = plan(made.family("data"))
+    base, contested = text.split("HashAggregate", 1)
+    assert "LeftAnti" in base and "Exchange hashpartitioning" not in base
+    assert "LeftSemi" in contested
+    # Only per-day partial results of the base are shuffled.
+    text = plan(daily_stats(sensor_rows(made.family("data"))))
+    assert "partial_max(hz" in text.split("LeftAnti")[0]
+
+
 def test_daily_stats_shuffle_rows_once_and_partials_once(made):
     text = plan(daily_stats(sensor_rows(made.family("data"))))
     assert text.count("Exchange") == 2

@@ -258,6 +258,36 @@ def test_compaction_leaves_the_newest_batch_of_a_run(spark, tmp_path):
     assert made.family("data").count() == 3
 
 
+@pytest.mark.parametrize("small_tail", [True, False])
+@pytest.mark.parametrize("by_arrival", [True, False])
+def test_base_with_later_batches(spark, tmp_path, monkeypatch, small_tail, by_arrival):
+    if not small_tail:
+        monkeypatch.setattr(module, "_SMALL_TAIL_BYTES", 0)
+    lines = readings(500, hot=150)
+    made = table(spark, tmp_path, by_arrival)
+    for batch in range(3):
+        part = lines[batch * 100 : batch * 100 + 100]
+        put(spark, made, part, first_offset=batch * 100, batch=batch)
+    for family in ("data", "alert"):
+        made.compact(family)
+    for batch in (3, 4):
+        part = lines[batch * 100 : batch * 100 + 100]
+        put(spark, made, part, first_offset=batch * 100, batch=batch)
+    data, alert = brute_force(lines)
+    assert as_dict(made.family("data")) == data
+    assert as_dict(made.family("alert")) == {k: (v,) for k, v in alert.items()}
+    assert made.row_count().first().rows == len(data)
+    assert [row.rowkey for row in made.scan_family("data").collect()] == sorted(data)
+    write_daily_stats(made)
+    assert made.family("stats").count() == len({key.split(" ")[0] for key in data})
+
+    # A replay's first batch repeats old readings after the newer base.
+    put(spark, made, lines[:100], run="second", batch=0)
+    if by_arrival:
+        data.update(brute_force(lines[:100])[0])
+    assert as_dict(made.family("data")) == data
+
+
 def test_truncate_then_reload(spark, tmp_path):
     made = table(spark, tmp_path / "table")
     send(spark, tmp_path / "topics", readings(50))
