@@ -1,10 +1,6 @@
 """Strict, eager parse of sensor lines."""
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from gaugeflow.schemas import ID_FIELDS, MEASURES
 
@@ -16,6 +12,14 @@ _FOREIGN_LITERAL = (
     r"[\x00-\x20]*(,|$)"
 )
 
+_MEASURE_FIELDS = f"slice(_fields, {len(ID_FIELDS) + 1}, {len(MEASURES)})"
+# Null as soon as one of the six is missing or not a number.
+_TOTAL = " + ".join(f"get(_numbers, {i})" for i in range(len(MEASURES)))
+_VALID = (
+    f"abs({_TOTAL}) < double('Infinity') OR {_TOTAL} IS NOT NULL "
+    f"AND NOT array_join({_MEASURE_FIELDS}, ',') RLIKE r'{_FOREIGN_LITERAL}'"
+)
+
 
 def parse_sensor(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Split each ``value`` at commas into the nine typed sensor columns.
@@ -28,27 +32,17 @@ def parse_sensor(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     makes every line split and cast once, also under a filter. Fields after
     the ninth are ignored and quotes are ordinary characters.
     """
-    fields = [F.get("_fields", F.lit(i)) for i in range(len(ID_FIELDS))]
-    numbers = [F.get("_numbers", F.lit(i)) for i in range(len(MEASURES))]
-    # Null as soon as one of the six is missing or not a number.
-    total = reduce(add, numbers)
-    measures = F.slice("_fields", len(ID_FIELDS) + 1, len(MEASURES))
-    valid = (F.abs(total) < float("inf")) | (
-        total.isNotNull()
-        & ~F.array_join(measures, ",").rlike(_FOREIGN_LITERAL)
-    )
-    reading = F.struct(
-        *[F.col(name) for name in keep],
-        *[column.alias(name) for name, column in zip(ID_FIELDS, fields)],
-        *[column.alias(name) for name, column in zip(MEASURES, numbers)],
-    )
-    failure = F.raise_error(
-        F.concat(
-            F.lit("malformed sensor line: "), F.coalesce("value", F.lit("<null>"))
-        )
+    reading = ", ".join(
+        [f"'{name}', {name}" for name in keep]
+        + [f"'{name}', get(_fields, {i})" for i, name in enumerate(ID_FIELDS)]
+        + [f"'{name}', get(_numbers, {i})" for i, name in enumerate(MEASURES)]
     )
     return (
-        lines.withColumn("_fields", F.split("value", ","))
-        .withColumn("_numbers", measures.try_cast("array<double>"))
-        .select(F.inline(F.array(F.when(valid, reading).otherwise(failure))))
+        lines.selectExpr("*", "split(value, ',') AS _fields")
+        .selectExpr("*", f"try_cast({_MEASURE_FIELDS} AS array<double>) AS _numbers")
+        .selectExpr(
+            f"inline(array(CASE WHEN {_VALID} THEN named_struct({reading}) "
+            "ELSE raise_error("
+            "'malformed sensor line: ' || coalesce(value, '<null>')) END))"
+        )
     )
