@@ -36,8 +36,10 @@ _BASE_RUN = "0base"
 _RUN_NAME = re.compile(r"[a-z][a-z0-9_-]*")
 _STATS_RUN = "stats"
 
-# A scan asks for its few keys first; each probe that bounds them reads this many
-# row keys at most, and a larger limit is read without that step.
+# A limited scan of families larger than this asks for its few keys first. Each
+# probe that bounds them reads this many row keys at most; a limit beyond the
+# few is read without that step.
+_READ_WHOLE_BYTES = 256 * 1024 * 1024
 _PROBES = 2
 _PROBE_KEYS = 5_000
 _FEW_KEYS = 1_000
@@ -199,8 +201,12 @@ class WideTable:
         return keys.distinct().orderBy("rowkey").limit(limit)
 
     def _scan(self, families: list[str], limit: int | None) -> list[DataFrame]:
-        """Current rows of each family, cut to the first ``limit`` keys if few."""
-        if limit is None or limit > _FEW_KEYS:
+        """Current rows of each family, cut to the first ``limit`` keys if few.
+
+        Small families are read whole: cheaper than finding the keys first.
+        """
+        size = sum(storage.size(self.spark, self.folder(f)) for f in families)
+        if limit is None or limit > _FEW_KEYS or size <= _READ_WHOLE_BYTES:
             return [self.family(family) for family in families]
         keys = [key for (key,) in self._first_keys(families, limit).collect()]
         if not keys:

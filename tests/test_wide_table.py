@@ -33,7 +33,11 @@ def test_alert_cell_outlives_a_later_normal_reading(spark, tmp_path):
     assert rows(made.family("alert"), "psi") == [(3.0,)]
 
 
-def test_batch_without_alerts_and_empty_table(spark, tmp_path):
+@pytest.mark.parametrize("whole_bytes", [-1, 2**28])
+def test_batch_without_alerts_and_empty_table(
+    spark, tmp_path, monkeypatch, whole_bytes
+):
+    monkeypatch.setattr(module, "_READ_WHOLE_BYTES", whole_bytes)
     made = table(spark, tmp_path)
     for family in ("data", "alert", "stats"):
         assert made.family(family).isEmpty()
@@ -150,9 +154,11 @@ def scanned(request, spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize("limit", [1, 50, 10_000])
-@pytest.mark.parametrize("probe", [10, 5_000])
+@pytest.mark.parametrize("probe", [None, 10, 5_000])
 def test_limited_scans_are_exact(scanned, monkeypatch, limit, probe):
-    monkeypatch.setattr(module, "_PROBE_KEYS", probe)
+    if probe is not None:
+        monkeypatch.setattr(module, "_READ_WHOLE_BYTES", -1)
+        monkeypatch.setattr(module, "_PROBE_KEYS", probe)
     made, lines = scanned
     data, alert = brute_force(lines)
     keys = [row.rowkey for row in made.scan_family("alert", limit).collect()]
