@@ -90,6 +90,7 @@ def _stats(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _scan(spark: SparkSession, args: argparse.Namespace) -> None:
     table = _table(spark, args)
+    size_shuffle(spark, table.root)
     rows = (
         table.scan_family(args.family, args.limit)
         if args.family

@@ -8,7 +8,7 @@ from gaugeflow.functions import parse_sensor
 from gaugeflow.operators import daily_stats, sensor_rows, stats_cells
 from gaugeflow.operators import wide_table as module
 from gaugeflow.plans.jobs import write_daily_stats
-from gaugeflow.schemas import STATS_CELLS
+from gaugeflow.schemas import SENSOR_ROW, STATS_CELLS
 
 
 def put(spark, made, lines, first_offset=0, run="first", batch=0):
@@ -223,6 +223,13 @@ def test_stats_versions_grow_over_compaction(spark, tmp_path):
     assert rows(made.family("stats"), "psimax") == [(8.0,)]
 
 
+def test_sensor_rows_schema(spark, tmp_path):
+    found = sensor_rows(table(spark, tmp_path).family("data")).schema
+    assert [(f.name, f.dataType) for f in found] == [
+        (f.name, f.dataType) for f in SENSOR_ROW
+    ]
+
+
 def test_stats_must_have_the_stats_schema(spark):
     with pytest.raises(TypeError):
         stats_cells(spark.createDataFrame([("a", 1.0)], "rowkey string, maxhz double"))
