@@ -54,6 +54,11 @@ from gaugeflow.streaming import (
     stream_to_table,
 )
 
+try:  # a subpackage that may be left out
+    from gaugeflow.llm import queries as llm_queries
+except ModuleNotFoundError:
+    llm_queries = None
+
 ENTRY_DIR = "/root/testdata/sf0.001"
 SEGMENTS = 4
 REPORT_SCHEMA = "resid string, date string, total bigint, avgpsi double"
@@ -465,11 +470,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    own = {
         name.removeprefix("q_"): function
         for name, function in globals().items()
         if name.startswith("q_")
     }
+    return {**own, **(llm_queries.queries() if llm_queries else {})}
 
 
 _STATS_SQL = ", ".join(f"{s}({m}) AS {s}{m}" for m in MEASURES for s in STATISTICS)
@@ -603,4 +609,5 @@ _SELECTS = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: f"{_CTE}{select}" for name, select in _SELECTS.items()}
+    own = {name: f"{_CTE}{select}" for name, select in _SELECTS.items()}
+    return {**own, **(llm_queries.oracle_sql() if llm_queries else {})}
