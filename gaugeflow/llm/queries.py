@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
     best_fit,
+    order_minhash,
     permutation_index,
     rp_forest,
     source_mix,
+    suffix_dedup,
     url_filter,
     warc_store,
     zstd_language,
@@ -50,11 +52,20 @@ def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.nearest_vectors(embeddings, F.col("vec_id") % 20 == 0)
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return url_filter.judge_urls(pages, url_filter.thin_page_urls(pages))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
