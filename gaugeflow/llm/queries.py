@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
     best_fit,
+    html_text,
     order_minhash,
     permutation_index,
     rp_forest,
@@ -26,6 +27,10 @@ def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rp_forest.link_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     predicted = zstd_language.predict_languages(docs, zstd_language.learn_languages(docs))
