@@ -20,7 +20,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.llm.components import components
@@ -273,6 +273,22 @@ def _linked(groups: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return member
 
 
+def _classes(docs: DataFrame, least: float) -> DataFrame:
+    """doc_id, copy (key of the text) and component of every row; null without a word."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sketched = rows.select("doc_id", _copy().alias("copy"), "text").mapInArrow(_sketcher, _SKETCHED)
+    sketched = stored(sketched, "sketches")
+    groups = stored(_shared_bands(sketched), "groups")
+    texts = stored(_texts_of(rows, sketched, groups), "texts")
+    member = _linked(groups, texts, least)
+
+    keyed = sketched.select("doc_id", "copy", "content")
+    worded = keyed.where("content IS NOT NULL").join(member, F.col("content") == F.col("id"), "left")
+    worded = worded.select("doc_id", "copy", F.coalesce("component", "content").alias("component"))
+    alone = keyed.where("content IS NULL").select("doc_id", "copy", "content")
+    return stored(worded.union(alone), "classes")
+
+
 def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """doc_id and class_id of every row of ``docs`` (doc_id, text).
 
@@ -284,17 +300,31 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
     equal; a null id takes part, and a class of null ids only has a null
     class_id. Other columns are ignored; an empty table gives an empty result.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketched = rows.select("doc_id", _copy().alias("copy"), "text").mapInArrow(_sketcher, _SKETCHED)
-    sketched = stored(sketched, "sketches")
-    keyed = sketched.select("doc_id", "content")
-    groups = stored(_shared_bands(sketched), "groups")
-    texts = stored(_texts_of(rows, sketched, groups), "texts")
-    member = _linked(groups, texts, least)
-
-    worded = keyed.where("content IS NOT NULL").join(member, F.col("content") == F.col("id"), "left")
-    worded = worded.select("doc_id", F.coalesce("component", "content").alias("component"))
+    classes = _classes(docs, least)
+    worded = classes.where("component IS NOT NULL").select("doc_id", "component")
     least_ids = worded.groupBy("component").agg(F.min("doc_id").alias("class_id"))
     classed = worded.join(least_ids, "component").select("doc_id", "class_id")
-    alone = keyed.where("content IS NULL").select("doc_id", F.col("doc_id").alias("class_id"))
+    alone = classes.where("component IS NULL").select("doc_id", F.col("doc_id").alias("class_id"))
     return classed.union(alone)
+
+
+def one_of_each_class(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """The row with the smallest doc_id of every class of ``near_duplicates``.
+
+    A null id counts as the largest; of equal ids one row stays. Rows without a
+    word all stay, but for those with equal id and text.
+    """
+    classes = _classes(docs, least)
+    worded, alone = (classes.where(f"component IS {x} NULL") for x in ("NOT", ""))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")).alias("first")
+    kept = worded.groupBy("component").agg(first).select("first.doc_id", "first.copy")
+    kept = kept.union(alone.select("doc_id", "copy").distinct())
+
+    def key(copy):
+        return F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.hex(copy), F.lit("-")))
+
+    kept = kept.select(key(F.col("copy")).alias("__kept"))
+    copy = F.unhex(F.md5(F.col("text").cast("string").cast("binary")))
+    joined = docs.withColumn("__key", key(copy)).join(kept, F.col("__key") == F.col("__kept"))
+    order = Window.partitionBy("__key").orderBy(F.lit(1))
+    return joined.withColumn("__row", F.row_number().over(order)).where("__row = 1").select(*docs.columns)

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +73,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op")}
+    own = {name: f for name, f in globals().items() if name.startswith("op")}
+    return {**own, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

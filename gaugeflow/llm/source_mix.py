@@ -174,9 +174,8 @@ def mixed_documents(docs: DataFrame, quality: DataFrame | None = None, **options
     """
     seed = options.get("seed", 5)
     copies = mix_sources(docs, quality, **options).where("taken > 0")
-    copies = copies.select("mark", F.try_divide("taken", "size").cast("int").alias("copies")).distinct()
-    marked = docs.withColumn("__mark", _mark(seed))
-    joined = marked.join(copies.withColumnRenamed("mark", "__m").withColumnRenamed("copies", "__copies"), F.col("__mark") == F.col("__m"))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
-
-
+    times = F.try_divide("taken", "size").cast("int")
+    copies = copies.select(F.col("mark").alias("__of"), times.alias("__times")).distinct()
+    joined = docs.withColumn("__mark", _mark(seed)).join(copies, F.col("__mark") == F.col("__of"))
+    repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times")))
+    return repeated.select(*docs.columns)

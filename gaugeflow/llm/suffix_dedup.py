@@ -35,7 +35,7 @@ _KEPT = "token long, copy binary, start long, strings int, whole boolean, compar
 _BYTES = "token long, copy binary, start long, bytes binary"
 _SPAN = "copy binary, start long, stop long"
 _WINDOWS = "copy binary, start long, one long, other long"
-_RESULT = "copy binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text binary"
+_RESULT = "copy binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -324,7 +324,7 @@ def _merged(spans) -> list[tuple[int, int]]:
 
 def _remover(length: int):
     names = [c.split()[0] for c in _RESULT.split(", ")]
-    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
+    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 
     def removed(copy, number, packed, spans, reader):
         data = reader.decompress(packed.as_buffer())
@@ -333,7 +333,7 @@ def _remover(length: int):
         found = [(0, len(data))] if everything else _merged((s["start"], s["stop"]) for s in spans.as_py() or ())
         edges = [0, *(edge for span in found for edge in span), len(data)]
         kept = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
-        return copy.as_py(), len(data), len(data) - len(kept), len(found), hashlib.sha256(kept).hexdigest(), kept
+        return copy.as_py(), len(data), len(data) - len(kept), len(found), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")
 
     def run(batches):
         import zstandard
@@ -383,7 +383,8 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     Removed is each byte of the text in UTF-8 that a string of ``length`` bytes
     covers which also starts anywhere else in the table, the same text included.
     Returns ``docs`` with n_bytes, n_removed, n_spans (maximal removed runs),
-    kept_sha256 and kept_text (binary; a cut may fall inside a character). A null
+    kept_sha256 (of all bytes left) and kept_text (without the rest of a character
+    that a cut has split). A null
     text is empty. Rows repeated as a whole, or with equal texts, are documents of
     their own, so of those nothing is left that is ``length`` long or more. Nulls
     in other columns change nothing; an empty table gives an empty result. Columns
@@ -402,5 +403,9 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     cleaned = texts.join(lists, "copy", "left").select("copy", "n", "packed", "spans")
     cleaned = cleaned.mapInArrow(_remover(length), _RESULT)
     added = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
-    keyed = docs.drop(*added).withColumn("__copy", F.unhex(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))))
-    return keyed.join(cleaned, F.col("__copy") == F.col("copy")).select(*(docs.drop(*added)[c] for c in docs.drop(*added).columns), *added)
+    own = [c for c in docs.columns if c not in added]
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.select(*own, F.unhex(F.md5(text.cast("binary"))).alias("__copy"))
+    cleaned = cleaned.withColumnsRenamed({c: f"__{c}" for c in ["copy", *added]} | {"copy": "__of"})
+    joined = keyed.join(cleaned, F.col("__copy") == F.col("__of"))
+    return joined.select(*own, *(F.col(f"__{c}").alias(c) for c in added))

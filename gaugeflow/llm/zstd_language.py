@@ -10,6 +10,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 UNKNOWN = "und"
 #: Bounds of the labelled sample that the dictionaries are made from.
@@ -118,7 +119,7 @@ def predict_languages(
     ``keep`` must not name lang_pred, score or rejected.
     """
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
-    names = [f.name for f in rows.schema if f.name in keep]
-    schema = f"{kept}, lang_pred string, score double, rejected boolean"
-    return rows.mapInArrow(_predictor(model, min_margin, names), schema)
+    kept = [f for f in rows.schema if f.name in keep]
+    added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())]
+    run = _predictor(model, min_margin, [f.name for f in kept])
+    return rows.mapInArrow(run, StructType([*kept, *added]))
