@@ -3,14 +3,16 @@
 Words make five-word shingles, each labelled with its number of occurrence so
 far. A sketch takes the few labelled shingles with the least hashes, in the
 order in which they stand in the text; two of these make a band. Texts that
-share a band are candidates, and an alignment of their shingle sequences inside
+share two of 24 bands are candidates, and an alignment of their shingle sequences inside
 a band around the diagonal decides: similarity is the aligned shingles over the
 aligned and unaligned ones.
 
 Within a band all texts are compared with one leader. The similarity's distance
 is a metric, so a text that is far from the leader cannot be similar to one
-that is near it; only texts in between, and those far from the leader among
-themselves, are compared further. So no link is lost and no group is paired out.
+that is near it. Texts in between are compared with those near the leader, and
+texts not similar to the leader with each other, both in blocks of bounded size
+whose tasks return no more links than they have texts. So no link is lost, and
+no group is paired out.
 """
 
 import hashlib
@@ -19,6 +21,7 @@ import zlib
 from bisect import bisect_left
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,10 +30,11 @@ from gaugeflow.llm.components import components
 from gaugeflow.llm.frames import stored
 
 _SHINGLE_WORDS = 5
-_BANDS = 20
+_BANDS = 24
+_SHARED_BANDS = 2
 _SKETCHES_PER_BAND = 2
 _KEPT_PER_SKETCH = 2
-_LEADERS = 16
+_BLOCK_TEXTS = 256
 _MATRIX_CELLS = 1 << 20
 _LARGEST = np.uint64((1 << 64) - 1)
 _WORD = re.compile(r"\w+")
@@ -159,36 +163,122 @@ def _shingled(batches):
             )
 
 
+def _arrays(column) -> list[np.ndarray]:
+    return [np.frombuffer(blob, dtype="<u8") for blob in column]
+
+
 def _verifier(least: float):
-    def run(batches):
-        for batch in batches:
-            a, b = batch.column("a_shingles"), batch.column("b_shingles")
-            found = []
-            for left, right in zip(a, b):
-                left, right = (np.frombuffer(x.as_buffer(), dtype="<u8") for x in (left, right))
-                found.append(similarity(left, right, least))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(found, pa.float64())],
-                names=["a", "b", "similarity"],
-            )
+    """Similarity of a leader to each text of a block; pairs under ``least`` go."""
+
+    def run(key, leader: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        first = _arrays(leader["shingles"])[0]
+        found = [similarity(first, other, least) for other in _arrays(block["shingles"])]
+        rows = pd.DataFrame({"a": key[0], "b": block["b"], "similarity": found}, columns=["a", "b", "similarity"])
+        return rows[rows["similarity"] > 0]
 
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """Similarity of every pair (a, b); 0 where it is under ``least``."""
-    pairs = pairs.select("a", "b").distinct()
-    named = lambda side: texts.select(F.col("content").alias(side), F.col("shingles").alias(f"{side}_shingles"))
-    joined = pairs.join(named("b"), "b").join(named("a"), "a")
-    return joined.mapInArrow(_verifier(least), _PAIRS)
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Shingles that each text of ``left`` has in common with each of ``right``."""
+    names = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    counts = np.zeros((len(left), len(right)), dtype=np.float32)
+    width = max(1, _MATRIX_CELLS // max(len(left), len(right)))
+    for start in range(0, len(names), width):
+        some = names[start : start + width]
+        sides = []
+        for texts in (left, right):
+            has = np.zeros((len(texts), len(some)), dtype=np.float32)
+            for row, shingle in enumerate(texts):
+                at = np.searchsorted(some, shingle)
+                at[at == len(some)] = 0
+                has[row, at[some[at] == shingle]] = 1
+            sides.append(has)
+        counts += sides[0] @ sides[1].T
+    return counts
+
+
+def _crosser(least: float):
+    """A link for each fringe text that is similar to one of the leader's texts."""
+
+    def run(key, fringe: pd.DataFrame, close: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(fringe) and len(close):
+            left, right = _arrays(fringe["shingles"]), _arrays(close["shingles"])
+            sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+            # No alignment has more than the common shingles.
+            needed = least / (1 + least) * (sizes[0][:, None] + sizes[1][None, :]) - 1e-6
+            common = _common(left, right)
+            for row in np.flatnonzero((common >= needed).any(axis=1)):
+                for other in np.flatnonzero(common[row] >= needed[row]):
+                    if similarity(left[row], right[other], least) > 0:
+                        out.append((fringe["b"].iat[row], close["b"].iat[other]))
+                        break
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return run
+
+
+def _pairer(least: float):
+    """Links that connect the similar texts of two blocks, or of one."""
+
+    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        out, block = [], rows["block"].to_numpy()
+        first, second = (np.flatnonzero(block == number) for number in key[1:])
+        shingled, names = _arrays(rows["shingles"]), rows["b"].tolist()
+        group = np.unique(np.array([c.hex() for c in rows["component"]]), return_inverse=True)[1]
+        if len(first) and len(second) and len(np.unique(group)) > 1:
+            left, right = ([shingled[i] for i in side] for side in (first, second))
+            sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+            needed = least / (1 + least) * (sizes[0][:, None] + sizes[1][None, :]) - 1e-6
+            for i, j in np.argwhere(_common(left, right) >= needed):
+                i, j = first[i], second[j]
+                if group[i] != group[j] and similarity(shingled[i], shingled[j], least) > 0:
+                    out.append((names[i], names[j]))
+                    group[group == group[j]] = group[i]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return run
 
 
-def _starred(groups: DataFrame, leaders: int, seed: int) -> DataFrame:
-    """(band, a, b): every text b of a band with up to ``leaders`` of its texts, a."""
-    order = F.struct(F.xxhash64(F.lit(seed), "content").alias("order"), "content")
-    part = F.pmod(F.xxhash64(F.lit(-1 - seed), "content"), F.lit(leaders))
-    chosen = groups.groupBy("band", part.alias("part")).agg(F.min(order)["content"].alias("a"))
-    return groups.join(chosen, "band").where("content != a").select("band", "a", F.col("content").alias("b"))
+def _blocked(pairs: DataFrame) -> DataFrame:
+    """Adds the block of b among the texts of a, and how many blocks there are."""
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / _BLOCK_TEXTS).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")
+    return pairs.join(sizes, "a").withColumn("block", block)
+
+
+def _with_shingles(rows: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    return rows.join(texts.select(F.col("content").alias(name), "shingles"), name)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """a, b and similarity of the pairs that are at least ``least`` similar."""
+    blocked = _blocked(pairs)
+    leaders = _with_shingles(blocked.select("a", "block").distinct(), texts, "a")
+    leaders = leaders.toDF("a", "block", "shingles").groupBy("a", "block")  # columns of its own
+    blocks = _with_shingles(blocked.select("b", "a", "block"), texts, "b").groupBy("a", "block")
+    return leaders.cogroup(blocks).applyInPandas(_verifier(least), _PAIRS)
+
+
+def _crossed(fringe: DataFrame, close: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links between the fringe texts and the close texts of the same leader."""
+    left, right = (stored(_blocked(x.select("a", "b")), "blocks") for x in (fringe, close))
+    count = lambda x, name: x.groupBy("a").agg(F.max("blocks").alias(name))
+    left = left.join(count(right, "others"), "a").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    right = right.join(count(left, "others"), "a").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    left = left.select("a", F.col("block").alias("x"), F.col("other").alias("y"), "b")
+    right = right.select("a", F.col("other").alias("x"), F.col("block").alias("y"), "b")
+    left, right = (_with_shingles(x, texts, "b").toDF("b", "a", "x", "y", "shingles") for x in (left, right))
+    left, right = left.groupBy("a", "x", "y"), right.groupBy("a", "x", "y")
+    return left.cogroup(right).applyInPandas(_crosser(least), "a binary, b binary")
+
+
+def _starred(groups: DataFrame) -> DataFrame:
+    """(band, a, b): every text b of a band with its leader a."""
+    order = F.struct(F.xxhash64("content").alias("order"), "content")
+    leader = groups.groupBy("band").agg(F.min(order)["content"].alias("a"))
+    return groups.join(leader, "band").where("content != a").select("band", "a", F.col("content").alias("b"))
 
 
 def _shared_bands(sketched: DataFrame) -> DataFrame:
@@ -212,14 +302,6 @@ def _copy():
     return F.unhex(F.md5(F.col("text").cast("binary")))
 
 
-def _split_groups(groups: DataFrame, member: DataFrame) -> DataFrame:
-    """The bands whose texts are not all in one component."""
-    named = groups.join(member, F.col("content") == F.col("id"), "left")
-    named = named.select("band", "content", F.coalesce("component", "content").alias("component"))
-    spread = named.groupBy("band").agg(F.min("component").alias("one"), F.max("component").alias("other"))
-    return groups.join(spread.where("one != other").select("band"), "band", "left_semi")
-
-
 def _unlinked(pairs: DataFrame, member: DataFrame) -> DataFrame:
     """The pairs (a, b, ...) whose texts are not in one component yet."""
     for side in ("a", "b"):
@@ -229,48 +311,46 @@ def _unlinked(pairs: DataFrame, member: DataFrame) -> DataFrame:
     return pairs.where(apart).drop("of_a", "of_b")
 
 
-def _linked(groups: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """(id, component) of the linked ones among texts that share a band.
+def _paired(left: DataFrame, member: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links among the texts b of each leader a, by pairs of blocks."""
+    named = member.select(F.col("id").alias("b"), "component")
+    blocked = stored(_blocked(left).join(named, "b", "left"), "blocks")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    blocked = blocked.withColumn("other", other).select(
+        "b", "a", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+        "block", F.coalesce("component", "b").alias("component"),
+    )
+    rows = _with_shingles(blocked, texts, "b")
+    return rows.groupBy("a", "x", "y").applyInPandas(_pairer(least), "a binary, b binary")
 
-    One leader per band first, which settles groups of copies; then several.
-    """
+
+def _candidates(starred: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The different pairs (a, b) that share at least ``_SHARED_BANDS`` bands."""
+    pairs = starred.select("a", "b").distinct()
+    for side in ("a", "b"):
+        named = sketches.select(F.col("content").alias(side), F.col("bands").alias(f"of_{side}"))
+        pairs = pairs.join(named, side)
+    shared = F.size(F.array_intersect("of_a", "of_b")) >= _SHARED_BANDS
+    return pairs.where(shared).select("a", "b")
+
+
+def _linked(groups: DataFrame, texts: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """(id, component) of the linked ones among texts that share bands."""
     near = max(0.0, 1 - 2 * (1 - least))
-    links = groups.sparkSession.createDataFrame([], "a binary, b binary")
-    member = components(links, "a", "b")
-    number, leaders = 0, 1
-
-    def linked_by(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        fresh = stored(_unlinked(pairs.select("a", "b"), member), "fresh")
-        if fresh.isEmpty():
-            return links, member
-        every = stored(links.union(fresh), "links")
-        return every, stored(components(every, "a", "b"), "members")
-
-    while not (starred := stored(_starred(groups, leaders, number), "starred")).isEmpty():
-        found = stored(_verified(starred, texts, near), "found")
-        judged = stored(starred.join(found, ["a", "b"]), "judged")
-        close = judged.where(F.col("similarity") >= least)
-        links, member = linked_by(close)
-        # A text neither similar to a leader nor far from it may be similar to
-        # one that the leader stands for, if both are not linked already.
-        fringe = judged.where((F.col("similarity") >= near) & (F.col("similarity") < least))
-        fringe = stored(_unlinked(fringe, member), "fringe")
-        if not fringe.isEmpty():
-            fringe = fringe.select("band", "a", F.col("b").alias("x"), F.col("similarity").alias("sx"))
-            stands_for = close.select("band", "a", F.col("b").alias("y"), F.col("similarity").alias("sy"))
-            reachable = F.col("sy") - F.col("sx") <= 1 - least + 1e-9
-            crossed = fringe.join(stands_for, ["band", "a"]).where(reachable)
-            crossed = crossed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-            more = _verified(crossed, texts, least).where(F.col("similarity") >= least)
-            links, member = linked_by(more)
-        # Texts without a similar leader go on; leaders have met everyone.
-        best = judged.groupBy("band", F.col("b").alias("content")).agg(F.max("similarity").alias("best"))
-        led = judged.select("band", F.col("a").alias("content")).distinct()
-        left = best.where(F.col("best") < least).select("band", "content")
-        left = left.join(led, ["band", "content"], "left_anti")
-        groups = stored(_split_groups(left, member), "left")
-        number, leaders = number + 1, _LEADERS
-    return member
+    starred = stored(_starred(groups), "starred")
+    pairs = stored(_candidates(starred, sketches), "pairs")
+    found = stored(_verified(pairs, texts, near), "found")
+    close = found.where(F.col("similarity") >= least).select("a", "b")
+    member = stored(components(close, "a", "b"), "members")
+
+    # A text neither similar to a leader nor far from it may be similar to one
+    # that the leader stands for, if both are not linked already.
+    fringe = _unlinked(found.where(F.col("similarity") < least), member)
+    crossed = _crossed(fringe, close, texts, least)
+    judged = starred.join(close.withColumn("near", F.lit(True)), ["a", "b"], "left")
+    left = judged.where("near IS NULL").select("a", "b").distinct()
+    links = close.union(crossed).union(_paired(left, member, texts, least))
+    return stored(components(links, "a", "b"), "members")
 
 
 def _classes(docs: DataFrame, least: float) -> DataFrame:
@@ -280,7 +360,9 @@ def _classes(docs: DataFrame, least: float) -> DataFrame:
     sketched = stored(sketched, "sketches")
     groups = stored(_shared_bands(sketched), "groups")
     texts = stored(_texts_of(rows, sketched, groups), "texts")
-    member = _linked(groups, texts, least)
+    some = sketched.join(groups.select("content").distinct(), "content", "left_semi")
+    some = stored(some.groupBy("content").agg(F.first("bands").alias("bands")), "some")
+    member = _linked(groups, texts, some, least)
 
     keyed = sketched.select("doc_id", "copy", "content")
     worded = keyed.where("content IS NOT NULL").join(member, F.col("content") == F.col("id"), "left")
