@@ -77,5 +77,74 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {**own, "pipeline": corpus_pipeline.run}
 
 
+_RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
+
+_SQL = {
+    "op1_rp_forest": """
+        WITH RECURSIVE rows AS (
+          SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings
+        ), usable AS (
+          SELECT vec_id, label, vec, sqrt(list_dot_product(vec, vec)) AS size FROM rows
+          WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(vec) > 0
+            AND len(list_filter(vec, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND list_dot_product(vec, vec) > 0
+        ), links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.vec) = len(b.vec)
+          WHERE list_dot_product(a.vec, b.vec) / (a.size * b.size) >= 0.98
+        ), reached AS (
+          SELECT vec_id AS id, vec_id AS other FROM rows
+          UNION SELECT r.id, l.b FROM reached r JOIN links l ON r.other = l.a
+        ), least AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id),
+        counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id,
+               coalesce(vec_id = component_id, false) AS kept
+        FROM rows LEFT JOIN least ON id = vec_id LEFT JOIN counted ON a = vec_id""",
+    "op4_warc_store": """
+        WITH payloads AS (
+          SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+        ), hashed AS (
+          SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS h FROM payloads
+        ), grouped AS (
+          SELECT *, max(page_id) OVER (PARTITION BY h) AS largest FROM hashed
+        )
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr(
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                 1 + CAST((CAST('0x' || substr(h, CAST(1 + (i // 4) * 5 AS INT), 5) AS INT)
+                           >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT), 1)), '') AS payload_digest,
+               CASE WHEN largest IS NULL OR page_id = largest THEN 'response' ELSE 'revisit' END
+                 AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM largest THEN largest END AS refers_to
+        FROM grouped""",
+    "op9_url_filter": f"""
+        WITH rules(verdict, h, p) AS (VALUES {_RULE_ROWS}), rest AS (
+          SELECT page_id, html, CASE WHEN instr(url, '://') > 0
+            THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), parts AS (
+          SELECT page_id, html, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+            translate(regexp_extract(rest, '^[^/?#]*'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM rest
+        ), bare AS (
+          SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''),
+            ':[0-9]*$', ''), '^(www|m)\\.', '') AS bare FROM parts
+        ), named AS (
+          SELECT *, CASE WHEN bare <> '' THEN bare || regexp_replace(path, '/+$', '') END AS canonical
+          FROM bare
+        ), listed AS (
+          SELECT DISTINCT canonical FROM named
+          WHERE coalesce(length(html), 0) < 1000 AND canonical IS NOT NULL
+        ), ruled AS (
+          SELECT named.*, (SELECT max(struct_pack(n := length(h || p), verdict := verdict, rule := h || p))
+            FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS best
+          FROM named
+        )
+        SELECT page_id, host, path, best.rule AS rule,
+          coalesce(best.verdict, CASE WHEN listed.canonical IS NULL THEN 'allow' ELSE 'block' END)
+            AS verdict
+        FROM ruled LEFT JOIN listed USING (canonical)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

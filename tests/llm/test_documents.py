@@ -1,0 +1,340 @@
+"""Near copies, repeated strings, mixing and packing against brute force."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from gaugeflow.llm import best_fit, order_minhash, source_mix, suffix_dedup
+from gaugeflow.llm.best_fit import best_fit_plan, pack_documents
+from gaugeflow.llm.order_minhash import near_duplicates, one_of_each_class
+from gaugeflow.llm.source_mix import mix_sources, mixed_documents, quality_weights
+from gaugeflow.llm.suffix_dedup import remove_repeats
+
+from .helpers import docs, rows_of
+
+SF = "/root/testdata/sf0.01"
+LONG = " ".join(f"w{i * 7919 % 30011}" for i in range(20_000))
+
+
+def doc_rows(texts, source="s"):
+    return [(i, t, "en", source, None) for i, t in enumerate(texts)]
+
+
+# Near copies
+
+
+def labelled(text):
+    found = order_minhash.words(text)
+    seen, out = Counter(), []
+    for i in range(max(1, len(found) - 4)):
+        shingle = tuple(found[i : i + 5])
+        out.append((shingle, seen[shingle]))
+        seen[shingle] += 1
+    return out
+
+
+def slow_similarity(a, b):
+    """Longest common subsequence of labelled shingles, by the full table."""
+    a, b = labelled(a), labelled(b)
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for j, y in enumerate(b):
+            before, row[j + 1] = row[j + 1], before + 1 if x == y else max(row[j + 1], row[j])
+    return row[-1] / (len(a) + len(b) - row[-1])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from("abcd"), min_size=1, max_size=40), st.data())
+def test_similarity_is_the_best_alignment(found, data):
+    other = list(found)
+    for _ in range(data.draw(st.integers(0, 3))):
+        other.insert(data.draw(st.integers(0, len(other))), data.draw(st.sampled_from("abcde")))
+    a, b = (order_minhash.labelled_shingles(x) for x in (found, other))
+    true = slow_similarity(" ".join(found), " ".join(other))
+    assert order_minhash.similarity(a, b, 0.8) == pytest.approx(true if true >= 0.8 else 0.0)
+
+
+def test_classes_are_those_of_brute_force(spark):
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], order_minhash.words(r["text"])) for r in frame.collect()]
+    shingled = [(i, order_minhash.labelled_shingles(w)) for i, w in rows if w]
+    parent = {i: i for i, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    holders = defaultdict(set)
+    for place, (_, s) in enumerate(shingled):
+        for shingle in s.tolist():
+            holders[shingle].add(place)
+    pairs = {(a, b) for h in holders.values() for a in h for b in h if a < b}
+    for a, b in pairs:
+        if order_minhash.similarity(shingled[a][1], shingled[b][1], 0.8):
+            low, high = sorted((root(shingled[a][0]), root(shingled[b][0])))
+            parent[high] = low
+    expected = sorted(((i, root(i)) for i, _ in rows), key=repr)
+    assert len({c for _, c in expected}) < len(expected)
+    assert rows_of(near_duplicates(frame)) == expected
+
+
+def test_a_chain_of_copies_is_one_class_and_blocks_change_nothing(spark, monkeypatch):
+    drawn = np.random.default_rng(4)
+    base = [f"x{i}" for i in range(200)]
+    texts = []
+    for _ in range(60):  # each copy is like the one before, not like the first
+        base = [f"y{drawn.integers(1 << 30)}" if drawn.random() < 0.008 else w for w in base]
+        texts.append(" ".join(base))
+    order = drawn.permutation(len(texts))
+    rows = doc_rows([texts[i] for i in order])
+    classes = rows_of(near_duplicates(docs(spark, rows)))
+    a = [order_minhash.labelled_shingles(t.split()) for t in (texts[i] for i in order)]
+    group = list(range(60))
+    for i in range(60):
+        for j in range(i):
+            if order_minhash.similarity(a[i], a[j], 0.8):
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    assert classes == sorted(enumerate(group), key=repr)
+    monkeypatch.setattr(order_minhash, "_BLOCK_TEXTS", 4)
+    assert rows_of(near_duplicates(docs(spark, rows))) == classes
+
+
+def test_odd_texts_have_defined_classes(spark):
+    rows = [
+        (1, None, None, None, None), (2, "", "en", "s", 0), (3, "...", "en", "s", 3), (4, "One two", "en", "s", 7),
+        (5, "one, TWO!", "en", "s", 9), (5, "one, TWO!", "en", "s", 9), (None, "one two", "en", "s", 7),
+        (6, LONG, "en", "s", 9), (7, LONG + " more", "en", "s", 9), (8, "a " * 5000, "en", "s", 1),
+        (None, "only null here now", "en", "s", 1),
+    ]
+    found = rows_of(near_duplicates(docs(spark, rows)))
+    expected = [(1, 1), (2, 2), (3, 3), (4, 4), (5, 4), (5, 4), (None, 4), (6, 6), (7, 6), (8, 8), (None, None)]
+    assert found == sorted(expected, key=repr)
+    kept = one_of_each_class(docs(spark, rows))
+    assert kept.columns == docs(spark, rows).columns
+    assert sorted((r["doc_id"] or 0 for r in kept.collect())) == [0, 1, 2, 3, 4, 6, 8]
+    assert near_duplicates(docs(spark, [])).count() == 0
+
+
+# Repeated strings
+
+
+def slow_removal(texts, length=200):
+    data = [(t or "").encode() for t in texts]
+    counts = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        cover = bytearray(len(d))
+        for i in range(len(d) - length + 1):
+            if counts[d[i : i + length]] > 1:
+                cover[i : i + length] = b"\1" * length
+        kept = bytes(b for b, c in zip(d, cover) if not c)
+        spans = sum(c and not p for p, c in zip([0, *cover], cover))
+        out.append((len(d), sum(cover), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def texts_with_repeats():
+    drawn = np.random.default_rng(8)
+    word = lambda: "".join(drawn.choice(list("abcdefgé"), 6))
+    text = lambda n: " ".join(word() for _ in range(n))
+    shared = text(60)
+    made = [text(80) + shared[i : i + 260] + text(drawn.integers(1, 90)) for i in range(0, 120, 7)]
+    made += [shared, shared[:199], shared[:200], "ab" * 400, "a" * 700, "b" * 200, "b" * 199, text(30) * 3]
+    made += [text(50)] * 3 + [None, "", "x", LONG, text(900) + LONG[5000:5300]]
+    made += [text(20) + shared[100:250] + text(20) for _ in range(4)]
+    return made
+
+
+def removed(frame):
+    return frame.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def test_removal_is_that_of_brute_force(spark, monkeypatch):
+    texts = texts_with_repeats()
+    expected = sorted(((i, *r) for i, r in enumerate(slow_removal(texts))), key=repr)
+    assert rows_of(removed(remove_repeats(docs(spark, doc_rows(texts))))) == expected
+    # Tokens with many records go by fingerprints; long texts come in chunks.
+    monkeypatch.setattr(suffix_dedup, "_TOKEN_RECORDS", 2)
+    monkeypatch.setattr(suffix_dedup, "_CHUNK", 1500)
+    assert rows_of(removed(remove_repeats(docs(spark, doc_rows(texts))))) == expected
+
+
+def test_repeated_rows_and_empty_table(spark):
+    rows = [(1, "q" * 50 + "é" * 100, "en", "s", 1)] * 2 + [(None, "z" * 201, None, None, None), (2, None, None, None, 1)]
+    found = remove_repeats(docs(spark, rows))
+    assert set(docs(spark, rows).columns) < set(found.columns)
+    got = sorted((r["doc_id"] or 0, r["n_removed"], r["n_spans"], r["kept_text"]) for r in found.collect())
+    assert got == [(0, 201, 1, ""), (1, 250, 1, ""), (1, 250, 1, ""), (2, 0, 0, "")]
+    assert remove_repeats(docs(spark, [])).count() == 0
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.binary(min_size=10, max_size=30)), min_size=1, max_size=8))
+def test_multikey_quicksort_finds_equal_strings_of_a_group(records):
+    records = [(g, bytes(b % 3 for b in r)) for g, r in records]
+    counts = Counter((g, r[i : i + 10]) for g, r in records for i in range(len(r) - 9))
+    expected = [counts[g, r[i : i + 10]] > 1 for g, r in records for i in range(len(r) - 9)]
+    found = suffix_dedup.repeated_suffixes([r for _, r in records], np.array([g for g, _ in records]), 10)
+    assert found.tolist() == expected
+
+
+# Mixing
+
+
+def slow_targets(sizes):
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        left = total - sum(3 * sizes[s] for s in capped)
+        share = sum(w for s, w in weights.items() if s not in capped)
+        target = {s: 3.0 * sizes[s] if s in capped else left * w / share for s, w in weights.items()}
+        over = {s for s in sizes if s not in capped and target[s] > 3 * sizes[s] + 1e-9}
+        if not over:
+            return target
+        capped |= over
+
+
+def test_mix_meets_its_targets(spark, monkeypatch):
+    monkeypatch.setattr(source_mix, "_ROWS_PER_BIN", 16)
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [r.asDict() for r in frame.collect()]
+    for r in rows:
+        r["source"] = {"src1": None, "src3": "src1"}.get(r["source"], "src2" if r["doc_id"] % 3 else r["source"])
+    frame = spark.createDataFrame(rows, frame.schema)
+    quality = quality_weights(spark.read.parquet(f"{SF}/labels.parquet"))
+    mixed = mix_sources(frame, quality).collect()
+    sizes, taken, largest = Counter(), Counter(), Counter()
+    for row, r in zip(sorted(mixed, key=lambda r: r["doc_id"]), rows):
+        assert row["size"] == len([w for w in re.split(r"[\x20\x09-\x0d]+", r["text"]) if w])
+        sizes[r["source"]] += row["size"]
+        taken[r["source"]] += row["taken"]
+        largest[r["source"]] = max(largest[r["source"]], row["size"])
+        assert row["taken"] % max(1, row["size"]) == 0 and row["taken"] <= 3 * row["size"]
+    targets = slow_targets(sizes)
+    for row in mixed:
+        assert row["source_size"] == sizes[row["source"]]
+        assert row["target"] == pytest.approx(targets[row["source"]])
+    for source, target in targets.items():
+        assert abs(taken[source] - target) <= largest[source] / 2 + 1
+    again = mix_sources(frame.repartition(5), quality).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, mixed), key=repr)
+
+
+def test_whole_epochs_come_first_and_good_documents_are_taken_more(spark):
+    rows = doc_rows(["w " * 10] * 400, "a") + [(400 + i, "w " * 10, "en", "b", 1) for i in range(400)]
+    quality = spark.createDataFrame([(i, 8.0 if i % 2 else 1.0) for i in range(800)], "doc_id long, weight double")
+    taken = {r["doc_id"]: r["taken"] for r in mix_sources(docs(spark, rows), quality).collect()}
+    a, b = [taken[i] for i in range(400)], [taken[i] for i in range(400, 800)]
+    assert set(a) == {10, 20} and sum(a) == pytest.approx(8000 * 5 / 7, abs=10)
+    assert set(b) == {0, 10} and sum(b) == pytest.approx(8000 * 2 / 7, abs=10)
+    good, bad = (sum(taken[i] > 0 for i in range(400 + k, 800, 2)) for k in (1, 0))
+    assert good > 1.4 * bad
+
+
+def test_mix_of_odd_rows(spark):
+    rows = [(None, "a b", None, None, None), (1, None, "en", "s", 1), (1, " \t ", "en", "s", 1), (2, "one two", "en", "s", 1), (2, "one two", "en", "s", 1), (3, LONG, "en", "t", 1), (4, "", "en", "u", 0)]
+    mixed = mix_sources(docs(spark, rows)).collect()
+    assert sorted(r["size"] for r in mixed) == [0, 0, 0, 2, 2, 2, 20000]
+    whole = mixed_documents(docs(spark, rows))
+    assert whole.columns == docs(spark, rows).columns
+    words = sum(len(r["text"].split()) for r in whole.collect())
+    assert words == sum(r["taken"] for r in mixed)
+    assert mix_sources(docs(spark, [])).count() == mixed_documents(docs(spark, [])).count() == 0
+    assert mix_sources(docs(spark, [(1, "", "en", "s", 0)])).first()["taken"] == 0
+
+
+# Packing
+
+
+def slow_best_fit(lengths, capacity):
+    bins = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [(left, i) for i, left in enumerate(bins) if left >= length]
+        if fitting:
+            bins[min(fitting)[1]] -= length
+        else:
+            bins.append(capacity - length)
+    return len(bins), sorted(bins)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 20), max_size=60))
+def test_plan_is_that_of_piece_after_piece(lengths):
+    plan = best_fit_plan(dict(Counter(lengths)), 20)
+    used = Counter()
+    spots = defaultdict(list)
+    placed = Counter()
+    ends = {}
+    for length, first, start, offset, each in zip(*(plan[k].tolist() for k in ("length", "first", "bin", "offset", "each"))):
+        ends.setdefault(length, []).append((first, start, offset, each))
+    for length, number in Counter(lengths).items():
+        steps = sorted(ends[length])
+        for k, (first, start, offset, each) in enumerate(steps):
+            last = steps[k + 1][0] if k + 1 < len(steps) else number
+            for i in range(last - first):
+                spots[start + i // each].append((offset + i % each * length, length))
+                used[start + i // each] += length
+                placed[length] += 1
+    assert placed == Counter(lengths)
+    for spot in spots.values():
+        at = 0
+        for offset, length in sorted(spot):
+            assert offset == at
+            at += length
+        assert at <= 20
+    number, left = slow_best_fit(lengths, 20)
+    assert (len(spots), sorted(20 - u for u in used.values())) == (number, left)
+    assert int(plan["bins"]) == number and set(spots) == set(range(number))
+
+
+def test_packing_of_a_table(spark, monkeypatch):
+    monkeypatch.setattr(best_fit, "_ROWS_PER_SLICE", 100)
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(300).collect()}
+    odd = ["a" * 30_000, "é中\U0001f600 \x00\t x", "<|endoftext|> <|endoftext|>", "don't  stop\n\n  ", "�" * 9, "..." * 999]
+    texts |= {100_000 + i: t for i, t in enumerate([*odd, LONG, "", None])}
+    ids = {i: [*coder.encode(t or "", add_special_tokens=False).ids, 0] for i, t in texts.items()}
+    rows = [(i, t, "en", "s", 1) for i, t in texts.items()]
+    pieces = pack_documents(docs(spark, rows)).collect()
+    by_doc, by_bin = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_doc[p["doc_id"]].append(p)
+        by_bin[p["sequence_id"]].append((p["offset"], p["length"]))
+    assert set(by_doc) == set(ids)
+    for doc_id, own in by_doc.items():
+        at = 0
+        for number, p in enumerate(sorted(own, key=lambda p: p["piece"])):
+            assert (p["piece"], p["start"]) == (number, at)
+            cut = np.array(ids[doc_id][at : at + p["length"]], dtype="<u4")
+            assert p["ids_crc32"] == zlib.crc32(cut.tobytes())
+            assert p["length"] == 2048 or number == 0
+            at += p["length"]
+        assert at == len(ids[doc_id])
+        assert len(own) == -(-at // 2048)
+    for own in by_bin.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(by_bin) == slow_best_fit([p["length"] for p in pieces], 2048)[0]
+
+
+def test_packing_of_repeated_rows_and_nothing(spark):
+    rows = [(1, "hello there", "en", "s", 1)] * 3 + [(None, None, None, None, None)] * 2
+    pieces = pack_documents(docs(spark, rows)).collect()
+    assert sorted((p["doc_id"] or 0, p["length"]) for p in pieces) == [(0, 1), (0, 1), (1, 3), (1, 3), (1, 3)]
+    assert len({p["offset"] for p in pieces}) == 5 and {p["sequence_id"] for p in pieces} == {0}
+    assert pack_documents(docs(spark, [])).count() == 0

@@ -1,0 +1,101 @@
+"""Linking and searching vectors against brute force."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from gaugeflow.llm import rp_forest
+from gaugeflow.llm.permutation_index import nearest_vectors
+from gaugeflow.llm.rp_forest import link_vectors
+
+from .helpers import VECTORS, rows_of, table
+
+SF = "/root/testdata/sf0.01"
+
+
+def clustered(seed=0, groups=60, size=12):
+    drawn = np.random.default_rng(seed)
+    rows = []
+    for group in range(groups):
+        centre = drawn.standard_normal(64)
+        for _ in range(size):
+            rows.append(centre + drawn.standard_normal(64) * drawn.choice([0.0, 0.05, 0.14, 0.2]))
+    return [(i * 3 + 1, [float(x) for x in row], i % 2) for i, row in enumerate(rows)]
+
+
+def brute_links(rows):
+    good = [(i, np.asarray(v, dtype=np.float32).astype(float), l) for i, v, l in rows]
+    parent = {i: i for i, _, _ in good}
+    n = dict.fromkeys(parent, 0)
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, (i, v, l) in enumerate(good):
+        for j, w, m in good[a + 1 :]:
+            if l == m and v @ w / np.sqrt((v @ v) * (w @ w)) >= 0.98:
+                n[i] += 1
+                n[j] += 1
+                low, high = sorted((root(i), root(j)))
+                parent[high] = low
+    return sorted(((i, n[i], root(i), root(i) == i) for i in n), key=repr)
+
+
+def test_links_are_those_of_brute_force(spark, monkeypatch):
+    rows = clustered()
+    found = link_vectors(table(spark, rows, VECTORS), leaf_rows=64)
+    assert rows_of(found) == brute_links(rows)
+    # The same in blocks smaller than a leaf.
+    monkeypatch.setattr(rp_forest, "_BLOCK_ROWS", 16)
+    found = link_vectors(table(spark, rows, VECTORS), leaf_rows=64)
+    assert rows_of(found) == brute_links(rows)
+
+
+def test_odd_vectors_link_with_nothing(spark):
+    one = [1.0, 2.0, 3.0]
+    rows = [
+        (1, one, 1), (2, one, 1), (2, one, 1), (3, [2.0, 4.0, 6.0], 1), (4, one, None), (5, None, 1),
+        (6, [0.0, 0.0, 0.0], 1), (7, [1.0, None, 1.0], 1), (8, [float("nan")] * 3, 1), (9, [], 1),
+        (10, one, 2), (None, one, 1), (11, [float("inf"), 1.0, 1.0], 1), (12, [1.0, 2.0], 1),
+    ]
+    found = rows_of(link_vectors(table(spark, rows, VECTORS)))
+    linked = [(1, 3, 1, True), (2, 3, 1, False), (2, 3, 1, False), (3, 3, 1, False)]
+    alone = [(i, 0, i, True) for i in (4, 5, 6, 7, 8, 9, 10, 11, 12)]
+    assert found == sorted([*linked, *alone, (None, 0, None, False)], key=repr)
+
+
+def test_empty_table(spark):
+    empty = table(spark, [], VECTORS)
+    assert link_vectors(empty).count() == 0
+    assert nearest_vectors(empty, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_recall_and_scores_against_brute_force(spark):
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    ids = np.array([r["vec_id"] for r in rows])
+    vectors = np.array([r["embedding"] for r in rows], dtype=float)
+    found = nearest_vectors(spark.read.parquet(f"{SF}/embeddings.parquet"), F.col("vec_id") % 20 == 0).collect()
+    by_query = {}
+    for row in found:
+        by_query.setdefault(row["query_id"], {})[row["rank"]] = row
+    hits = 0
+    queries = [i for i in ids if i % 20 == 0]
+    assert set(by_query) == set(queries)
+    for query in queries:
+        score = vectors @ vectors[ids == query][0]
+        best = [j for j in ids[np.lexsort((ids, -score))] if j != query][:20]
+        rows = [by_query[query][rank] for rank in range(1, 21)]
+        hits += len({r["vec_id"] for r in rows} & set(best))
+        assert [r["vec_id"] for r in rows] == [r["vec_id"] for r in sorted(rows, key=lambda r: (-r["score"], r["vec_id"]))]
+        assert all(abs(r["score"] - score[ids == r["vec_id"]][0]) < 1e-12 for r in rows)
+    assert hits >= 0.9 * 20 * len(queries)
+
+
+def test_few_candidates_are_all_found_with_ties_by_id(spark):
+    rows = [(i, [1.0, 1.0], None) for i in (0, 3, 2, 1)] + [(5, [0.0, 2.0], 1), (6, None, 1), (20, [-1.0, 0.0], 1)]
+    rows += [(0, [1.0, 1.0], 1), (None, [1.0, 1.0], 1)]
+    found = nearest_vectors(table(spark, rows, VECTORS), F.col("vec_id") % 20 == 0)
+    expected = [(0, k + 1, v, s) for k, (v, s) in enumerate([(1, 2.0), (2, 2.0), (3, 2.0), (5, 2.0), (20, -1.0)])]
+    expected += [(20, k + 1, v, s) for k, (v, s) in enumerate([(5, 0.0), (0, -1.0), (1, -1.0), (2, -1.0), (3, -1.0)])]
+    assert [(q, r, v, s + 0.0) for q, r, v, s in rows_of(found)] == sorted(expected, key=repr)
