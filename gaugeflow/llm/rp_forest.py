@@ -23,6 +23,7 @@ from gaugeflow.llm.vectors import encoded_vectors, matrix
 SAMPLE_ROWS = 40_000
 _MIN_NODE_SAMPLE = 16
 _BLOCK_ROWS = 1024
+_LEAF_COLUMNS = 4096
 _LEAVES = "leaf long, id long, n long, vec binary, leaves array<long>"
 _FOUND = "id long, links long, root long"
 
@@ -106,21 +107,19 @@ def _placer(forests: dict, trees: int, depth: int, seed: int, spill: float):
     return run
 
 
-def _least_common(leaves: list, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Smallest leaf that both vectors of each pair are in."""
-    widest = max(map(len, leaves))
-    padded = np.full((len(leaves), widest), np.iinfo(np.int64).max)
-    for row, names in enumerate(leaves):
-        padded[row, : len(names)] = np.sort(names)
-    least = np.full(len(left), np.iinfo(np.int64).max)
-    for start in range(0, len(left), 100_000):
-        a, b = padded[left[start : start + 100_000]], padded[right[start : start + 100_000]]
-        best = least[start : start + 100_000]
-        for column in range(widest - 1, -1, -1):
-            name = a[:, column]
-            both = (b == name[:, None]).any(axis=1) & (name != np.iinfo(np.int64).max)
-            best[both] = name[both]
-    return least
+def _met_before(leaves: list, leaf: int) -> np.ndarray:
+    """Which pairs of rows also share a leaf with a smaller name than ``leaf``."""
+    rows = np.repeat(np.arange(len(leaves)), [len(names) for names in leaves])
+    names = np.concatenate(leaves)
+    rows, names = rows[names < leaf], names[names < leaf]
+    names, column = np.unique(names, return_inverse=True)
+    met = np.zeros((len(leaves), len(leaves)), dtype=bool)
+    for start in range(0, len(names), _LEAF_COLUMNS):
+        some = (column >= start) & (column < start + _LEAF_COLUMNS)
+        inside = np.zeros((len(leaves), min(_LEAF_COLUMNS, len(names) - start)), dtype=np.float32)
+        inside[rows[some], column[some] - start] = 1
+        met |= inside @ inside.T > 0
+    return met
 
 
 def _roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -143,15 +142,13 @@ def _comparer(threshold: float):
         np.fill_diagonal(close, False)
         if low != high:
             close &= block[:, None] != block[None, :]
-        left, right = np.nonzero(np.triu(close))
-        if not len(left):
+        some = np.flatnonzero(close.any(axis=1))
+        if not len(some):
             return pd.DataFrame({"id": [], "links": [], "root": []}).astype("int64")
-        mine = _least_common(rows["leaves"].tolist(), left, right) == leaf
-        links = np.bincount(left[mine], n[right[mine]], len(ids))
-        links += np.bincount(right[mine], n[left[mine]], len(ids))
-        root = _roots(close, ids)
-        some = close.any(axis=1)
-        return pd.DataFrame({"id": ids[some], "links": links[some].astype("int64"), "root": root[some]})
+        close, ids, n = close[np.ix_(some, some)], ids[some], n[some]
+        mine = close & ~_met_before([rows["leaves"].iat[row] for row in some], leaf)
+        links = mine.astype(np.float64) @ n.astype(np.float64)  # whole numbers, exact
+        return pd.DataFrame({"id": ids, "links": links.astype("int64"), "root": _roots(close, ids)})
 
     return run
 
