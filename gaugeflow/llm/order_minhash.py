@@ -142,12 +142,15 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
 def _sketcher(batches):
     """Key and bands of each text; nulls for a text without a word."""
     for batch in batches:
-        found = [words(t) for t in batch.column("text").to_pylist()]
-        keys = [bands(labelled_shingles(f)) if f else None for f in found]
+        contents, keys = [], []
+        for text in batch.column("text"):  # one text's words at a time
+            found = words(text.as_py())
+            contents.append(_content(found))
+            keys.append(bands(labelled_shingles(found)) if found else None)
         columns = [
             batch.column("doc_id"),
             batch.column("copy"),
-            pa.array([_content(f) for f in found], pa.binary()),
+            pa.array(contents, pa.binary()),
             pa.array(keys, pa.list_(pa.int64())),
         ]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "copy", "content", "bands"])
