@@ -16,7 +16,7 @@ from gaugeflow.schemas import TOPIC
 from gaugeflow.session import get_session, size_shuffle
 from gaugeflow.sources.kafka import publish_kafka, read_kafka
 from gaugeflow.sources.lines import read_lines
-from gaugeflow.sources.topic import read_topic
+from gaugeflow.sources.topic import read_topic, topic_names
 from gaugeflow.streaming import (
     REPORT,
     drain,
@@ -70,6 +70,8 @@ def _report(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
+    if len(topic_names(args.topic)) > 1 and not args.by_arrival:
+        raise SystemExit("offsets of several topics have no order: use --by-arrival")
     table = _table(spark, args)
     table.create()
     stream_to_table(

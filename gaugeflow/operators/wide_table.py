@@ -9,13 +9,14 @@ already there, so both leave the same table.
 
 import re
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    DecimalType,
     DoubleType,
-    LongType,
     StringType,
     StructField,
     StructType,
@@ -36,6 +37,14 @@ _BASE_RUN = "0base"
 _RUN_NAME = re.compile(r"[a-z][a-z0-9_-]*")
 _STATS_RUN = "stats"
 
+# A version has a fixed width, so that the newest one is found by hashing. By
+# arrival it holds the run's place among all runs, the batch and the offset.
+_VERSION = DecimalType(38, 0)
+_RUNS = "_runs"
+_NOBODY = "-"
+_OFFSETS = 10**19
+_BATCHES = 10**9
+
 # A limited scan of families larger than this asks for its few keys first. Each
 # probe that bounds them reads this many row keys at most; a limit beyond the
 # few is read without that step.
@@ -55,8 +64,9 @@ class WideTable:
 
     A version is the topic offset of its record, which orders the readings of
     a row key because they share a topic partition. A table fed from several
-    topics has no such order and sets ``by_arrival``: newer runs, batches and
-    then offsets win.
+    topics has no such order and sets ``by_arrival``: runs first seen later,
+    then later batches and offsets win, and the version holds all three. The
+    table remembers its mode and cannot be opened in the other one.
     """
 
     spark: SparkSession
@@ -70,30 +80,57 @@ class WideTable:
         return StructType(
             [StructField("rowkey", StringType())]
             + [StructField(cell, DoubleType()) for cell in FAMILIES[family]]
-            + [StructField("version", LongType())]
+            + [StructField("version", _VERSION)]
         )
 
+    def __post_init__(self) -> None:
+        modes = [n for n in storage.folders(self.spark, self.root) if n.startswith("_mode-")]
+        if modes and modes != [self._mode()]:
+            raise ValueError(f"{self.root} was made with {modes[0].removeprefix('_mode-')}")
+
+    def _mode(self) -> str:
+        return "_mode-by_arrival" if self.by_arrival else "_mode-by_offset"
+
     def create(self) -> None:
         """Make the families' folders; a table that is there stays as it is."""
-        for family in FAMILIES:
-            storage.make(self.spark, self.folder(family))
+        for name in (*FAMILIES, _RUNS, self._mode()):
+            storage.make(self.spark, self.folder(name))
 
     def truncate(self) -> None:
-        """Empty every family."""
-        for family in FAMILIES:
-            storage.delete(self.spark, self.folder(family))
+        """Empty every family and forget the runs."""
+        for name in (*FAMILIES, _RUNS):
+            storage.delete(self.spark, self.folder(name))
         self.create()
 
+    def _place_of_run(self, run: str, owner: str | None) -> int:
+        """The run's place among the table's runs, given when it is first seen.
+
+        ``owner`` is bound to the run then; another owner would overwrite the
+        batches of the first, so it is refused.
+        """
+        known = [n.split(".") for n in storage.folders(self.spark, self.folder(_RUNS))]
+        for place, name, first in known:
+            if name == run:
+                if first != (owner or _NOBODY):
+                    raise ValueError(f"run {run!r} belongs to another checkpoint")
+                return int(place)
+        place = 1 + max((int(place) for place, *_ in known), default=-1)
+        storage.make(self.spark, f"{self.folder(_RUNS)}/{place:010d}.{run}.{owner or _NOBODY}")
+        return place
+
     # Writing
 
     def _put(self, rows: DataFrame, family: str, run: str, batch: int) -> str:
         rows = rows.select("rowkey", *FAMILIES[family], "version")
         return storage.write_batch(rows, self.folder(family), run, batch)
 
-    def put_readings(self, sensor: DataFrame, run: str, batch: int) -> None:
+    def put_readings(
+        self, sensor: DataFrame, run: str, batch: int, owner: str | None = None
+    ) -> None:
         """Upsert readings into ``data``, then their alerts into ``alert``.
 
-        ``run`` names one pass over the topic, ``batch`` a micro-batch in it.
+        ``run`` names one pass over the topic, ``batch`` a micro-batch in it,
+        ``owner`` the checkpoint that the run is bound to on first use.
         Alerts are read back from the data just written: three columns with
         the threshold pushed to the files, no second parse and no cache. They
         are every alerting version, so a later reading that is no alert leaves
@@ -101,9 +138,12 @@ class WideTable:
         """
         if not _RUN_NAME.fullmatch(run):
             raise ValueError(f"not a run name: {run!r}")
-        rows = sensor.withColumn("rowkey", row_key()).withColumnRenamed(
-            "offset", "version"
-        )
+        place = self._place_of_run(run, owner)
+        version = F.col("offset").cast(_VERSION)
+        if self.by_arrival:
+            arrived = Decimal((place * _BATCHES + batch) * _OFFSETS)
+            version = (F.lit(arrived).cast(_VERSION) + F.col("offset")).cast(_VERSION)
+        rows = sensor.withColumn("rowkey", row_key()).withColumn("version", version)
         written = self._put(rows, "data", run, batch)
         reader = sensor.sparkSession.read.schema(self._schema("data"))
         # A small part of the batch: adaptive execution picks the file count.
@@ -119,8 +159,8 @@ class WideTable:
         """
         if version is None:
             (last,) = self.versions("stats").agg(F.max("version")).first()
-            version = 0 if last is None else last + 1
-        rows = stats_cells(stats).withColumn("version", F.lit(version).cast("long"))
+            version = 0 if last is None else int(last) + 1
+        rows = stats_cells(stats).withColumn("version", F.lit(version).cast(_VERSION))
         self._put(rows, "stats", _STATS_RUN, version)
         return version
 
@@ -132,10 +172,6 @@ class WideTable:
             self.spark, self.folder(family), self._schema(family)
         )
 
-    def _newest(self, versions: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-        order = F.struct("run", "batch", "version") if self.by_arrival else "version"
-        return newest(versions, columns, order)
-
     def _small_tail(self, family: str) -> bool:
         """Whether one base holds all but a few of the family's rows."""
         root = self.folder(family)
@@ -155,13 +191,13 @@ class WideTable:
         """
         versions, cells = self.versions(family), FAMILIES[family]
         if not self._small_tail(family):
-            return self._newest(versions, cells)
+            return newest(versions, cells, "version")
         base = versions.where(F.col("run") == _BASE_RUN)
         tail = versions.where(F.col("run") != _BASE_RUN)
         keys = F.broadcast(tail.select("rowkey").distinct())
         settled = base.join(keys, "rowkey", "left_anti").select("rowkey", *cells)
         contested = base.join(keys, "rowkey", "left_semi").unionByName(tail)
-        return settled.unionByName(self._newest(contested, cells))
+        return settled.unionByName(newest(contested, cells, "version"))
 
     def row_count(self) -> DataFrame:
         """Number of rows that have ``data`` cells."""
@@ -214,7 +250,7 @@ class WideTable:
         # The range prunes files, the list picks the rows.
         wanted = F.col("rowkey").between(keys[0], keys[-1]) & F.col("rowkey").isin(keys)
         return [
-            self._newest(self.versions(family).where(wanted), FAMILIES[family])
+            newest(self.versions(family).where(wanted), FAMILIES[family], "version")
             for family in families
         ]
 
@@ -273,8 +309,8 @@ class WideTable:
         )
         # The aggregate comes first: it merges a hot key's versions before the
         # range shuffle that would send them all to one task.
-        newest = self._newest(versions, (*FAMILIES[family], "version"))
-        base = newest.repartitionByRange("rowkey").sortWithinPartitions("rowkey")
+        last = newest(versions, (*FAMILIES[family], "version"), "version")
+        base = last.repartitionByRange("rowkey").sortWithinPartitions("rowkey")
         self._put(base, family, _BASE_RUN, max(bases, default=-1) + 1)
         for folder in merged:
             storage.delete(self.spark, folder)

@@ -6,6 +6,7 @@ segment. Records have the same columns as records read from a broker.
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -61,30 +62,46 @@ def publish(
     """Append lines to a topic as keyed records and return the segment number.
 
     Nothing is shuffled: each task keys and writes its own lines. Offsets grow
-    in file order and from call to call, with gaps between tasks. Lines that
-    already have an ``offset`` column keep it. Naming a ``segment`` makes a
-    repeated call replace what the first wrote; ``files`` spreads the segment
-    over that many files, for readers that take a number of files per batch.
+    from call to call, with gaps between tasks. Lines that already have an
+    ``offset`` column keep it. Naming a ``segment`` makes a repeated call replace
+    what the first wrote; without a name a new segment is written, also if
+    another publisher takes its number first. ``files`` spreads the segment over
+    that many files, for readers that take a number of files per batch.
     """
     spark = lines.sparkSession
     folder = topic_folder(root, topic)
-    known = sorted(
-        int(name.split("=")[1])
-        for name in storage.folders(spark, folder)
-        if name.startswith("segment=")
-    )
-    if segment is None:
-        segment = known[-1] + 1 if known else 0
-    if "offset" not in lines.columns:
-        first = _next_offset(spark, folder, [n for n in known if n < segment])
-        lines = lines.withColumn("offset", F.monotonically_increasing_id() + first)
-    records = keyed_records(lines).select(
-        "key", "value", "partition", "offset", F.current_timestamp().alias("timestamp")
-    )
-    if files is not None:
-        records = records.repartition(files, "offset")
-    records.write.mode("overwrite").parquet(f"{folder}/segment={segment}")
-    return segment
+
+    def write(number: int, known: list[int], mode: str) -> None:
+        numbered = lines
+        if "offset" not in lines.columns:
+            first = _next_offset(spark, folder, [n for n in known if n < number])
+            numbered = lines.withColumn("offset", F.monotonically_increasing_id() + first)
+        records = keyed_records(numbered).select(
+            "key", "value", "partition", "offset", F.current_timestamp().alias("timestamp")
+        )
+        if files is not None:
+            records = records.repartition(files, "offset")
+        records.write.mode(mode).parquet(f"{folder}/segment={number}")
+
+    if segment is not None:
+        write(segment, _segments(spark, folder), "overwrite")
+        return segment
+    taken = -1
+    while True:
+        known = _segments(spark, folder)
+        number = max([taken, *known]) + 1
+        try:
+            write(number, known, "errorifexists")
+            return number
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            taken = number
+
+
+def _segments(spark: SparkSession, folder: str) -> list[int]:
+    names = storage.folders(spark, folder)
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("segment="))
 
 
 def read_topic(

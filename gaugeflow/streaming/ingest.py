@@ -1,5 +1,7 @@
 """Keep a wide table up to date from a topic."""
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,17 +22,23 @@ def stream_to_table(
 ) -> StreamingQuery:
     """Upsert every micro-batch's readings and alerts.
 
-    ``run`` names the checkpoint: keep it when the checkpoint resumes, take a
-    later name with a new checkpoint. A bad line fails the batch before any
+    ``run`` names the checkpoint: keep it when the checkpoint resumes, take
+    another name with a new checkpoint. The table binds the run to the
+    checkpoint's id and refuses another one. A bad line fails the batch before any
     of it is written. ``echo`` prints the batch's first records and first
     alert, at the price of a parse each.
     """
 
+    owner: list[str] = []
+
     def handle(batch: DataFrame, number: int) -> None:
+        if not owner:
+            (made,) = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()
+            owner.append(json.loads(made)["id"])
         sensor = parse_sensor(batch, keep=("offset",))
         if echo:
             show("first records", first_rows(sensor, 10, "offset"))
             show("first alert", sample_alert(sensor))
-        table.put_readings(sensor, run, number)
+        table.put_readings(sensor, run, number, owner[0])
 
     return start(records, handle, checkpoint, bounded)
