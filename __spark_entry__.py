@@ -13,7 +13,8 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gaugeflow.functions import parse_sensor, record_key, row_key
@@ -44,6 +45,7 @@ from gaugeflow.session import shared_folder
 from gaugeflow.sources import storage
 from gaugeflow.sources.topic import keyed_records, publish, read_topic
 from gaugeflow.streaming import (
+    RECEIVED,
     REPORT,
     drain,
     drain_counts,
@@ -79,6 +81,7 @@ class Prepared:
     root: str
     _files: int | None = field(default=None)
     _table: WideTable | None = field(default=None)
+    _reports: str | None = field(default=None)
 
     def scratch(self, name: str) -> str:
         """A folder no other call uses."""
@@ -87,9 +90,11 @@ class Prepared:
     def topic_files(self) -> int:
         """Publish the topic if need be; the number of files per segment."""
         if self._files is None:
-            self._files = publish_in_segments(
-                self.spark, self.sf_dir, f"{self.root}/topics", TOPIC, SEGMENTS
-            )
+            root = f"{self.root}/topics"
+            self._files = publish_in_segments(self.spark, self.sf_dir, root, TOPIC, SEGMENTS)
+            # A last segment without a record: a micro-batch to skip.
+            empty = _lines(self.spark, self.sf_dir).where("false")
+            publish(empty, root, TOPIC, segment=SEGMENTS)
         return self._files
 
     def records(self) -> DataFrame:
@@ -109,11 +114,24 @@ class Prepared:
         table.create()
         return table
 
-    def ingest(self, table: WideTable, run: str = "first") -> WideTable:
+    def ingest(
+        self, table: WideTable, run: str = "first", records: DataFrame | None = None
+    ) -> WideTable:
         checkpoint = self.scratch("checkpoint")
-        stream_to_table(self.stream(), table, run, checkpoint).awaitTermination()
+        records = self.stream() if records is None else records
+        stream_to_table(records, table, run, checkpoint).awaitTermination()
         return table
 
+    def reports(self) -> str:
+        """Folder of the built-in reports, streamed once."""
+        if self._reports is None:
+            root, checkpoint = self.scratch("reports"), self.scratch("checkpoint")
+            stream_reports(
+                self.stream(), root, "first", checkpoint, REPORT
+            ).awaitTermination()
+            self._reports = root
+        return self._reports
+
     def table(self) -> WideTable:
         """The topic streamed into a table, with its daily statistics."""
         if self._table is None:
@@ -231,12 +249,28 @@ def q_publish_topic(spark, sf_dir):
 
 
 def q_publish_files(spark, sf_dir):
-    """Write the lines to text files, publish those, read the records back."""
+    """Lines in files of rising and falling size, published; ranked by offset.
+
+    Files are named by the square root of the event's number in its thousand,
+    counted from either end, and ordered as text.
+    """
     prepared = _prepared(spark, sf_dir)
     files, root = prepared.scratch("lines"), prepared.scratch("topics")
-    _lines(spark, sf_dir).select("value").write.text(files)
+    number = F.col("offset") % 1000
+    part = F.when(number < 500, F.floor(F.sqrt(number))).otherwise(
+        100 - F.floor(F.sqrt(999 - number))
+    )
+    lines = _lines(spark, sf_dir).select("offset", "value", part.alias("part"))
+    ordered = lines.repartition(8, "part").sortWithinPartitions("part", "offset")
+    ordered.select("value", "part").write.partitionBy("part").text(files)
     publish_files(spark, files, root, TOPIC)
-    return read_topic(spark, root).select("key", "value")
+    return _ranked(read_topic(spark, root))
+
+
+def _ranked(records):
+    """Rank by offset among the records of one key."""
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("offset"))
+    return records.select("key", "value", rank.alias("rank"))
 
 
 def q_several_topics(spark, sf_dir):
@@ -254,6 +288,18 @@ def q_several_topics(spark, sf_dir):
     return table.family("data")
 
 
+def q_contested_topics(spark, sf_dir):
+    """Two topics with the same row keys: odd events arrive after the even ones."""
+    prepared = _prepared(spark, sf_dir)
+    root = prepared.scratch("topics")
+    lines = _lines(spark, sf_dir)
+    table = prepared.new_table("table", by_arrival=True)
+    for place, topic in enumerate(("even", "odd")):
+        publish(lines.where(F.col("offset") % 2 == place), root, topic)
+        prepared.ingest(table, topic, read_topic(spark, root, topic, streaming=True))
+    return table.family("data")
+
+
 def q_drain_counts(spark, sf_dir):
     prepared = _prepared(spark, sf_dir)
     root, checkpoint = prepared.scratch("drain"), prepared.scratch("checkpoint")
@@ -280,19 +326,24 @@ def _streamed(spark, sf_dir, reports, name, schema):
     return read_report(spark, root, name, "first", schema)
 
 
+def _sensor_day(spark, sf_dir):
+    root = _prepared(spark, sf_dir).reports()
+    return read_report(spark, root, "sensor_day", "first", REPORT_SCHEMA)
+
+
 def q_stream_received(spark, sf_dir):
-    report = _streamed(spark, sf_dir, REPORT, "sensor_day", REPORT_SCHEMA)
-    return report.groupBy("batch").agg(F.sum("total").alias("received"))
+    """Records of each batch; the topic's last segment is empty and has no row."""
+    root = _prepared(spark, sf_dir).reports()
+    report = read_report(spark, root, RECEIVED, "first", "received bigint")
+    return report.select("batch", "received")
 
 
 def q_stream_reading_count(spark, sf_dir):
-    report = _streamed(spark, sf_dir, REPORT, "sensor_day", REPORT_SCHEMA)
-    return report.select("batch", "resid", "date", "total")
+    return _sensor_day(spark, sf_dir).select("batch", "resid", "date", "total")
 
 
 def q_stream_avg_psi(spark, sf_dir):
-    report = _streamed(spark, sf_dir, REPORT, "sensor_day", REPORT_SCHEMA)
-    return report.select("batch", "resid", "date", "avgpsi")
+    return _sensor_day(spark, sf_dir).select("batch", "resid", "date", "avgpsi")
 
 
 def q_stream_sql(spark, sf_dir):
@@ -395,6 +446,46 @@ def q_compacted_data(spark, sf_dir):
     return table.scan_family("data")
 
 
+def q_compacted_runs(spark, sf_dir):
+    """The topic, then its first half again as a second run, compacted in use."""
+    prepared = _prepared(spark, sf_dir)
+    table = prepared.ingest(prepared.new_table("table", by_arrival=True), "run-9")
+    root = prepared.scratch("topics")
+    middle, lines = _middle(spark, sf_dir), _lines(spark, sf_dir)
+    for first, end in ((0, middle // 2), (middle // 2, middle)):
+        publish(lines.where(F.col("offset").between(first, end - 1)), root, TOPIC, files=1)
+    records = read_topic(spark, root, streaming=True, files_per_batch=1)
+    prepared.ingest(table, "run-10", records)
+    table.compact("data")
+    return table.family("data")
+
+
+def _middle(spark, sf_dir):
+    """The first event of the topic's second half."""
+    (events,) = _lines(spark, sf_dir).agg(F.count(F.lit(1))).first()
+    return -(-events // 2)
+
+
+def q_rerun_new_checkpoint(spark, sf_dir):
+    """A run's name is refused to a second checkpoint; its earlier rows remain."""
+    prepared = _prepared(spark, sf_dir)
+    root = prepared.scratch("topics")
+    lines, middle = _lines(spark, sf_dir), _middle(spark, sf_dir)
+    publish(lines.where(F.col("offset") < middle), root, "old")
+    publish(lines.where(F.col("offset") >= middle), root, "new")
+    table = prepared.new_table("table")
+    prepared.ingest(table, "first", read_topic(spark, root, "old", streaming=True))
+    try:
+        prepared.ingest(table, "first", read_topic(spark, root, "new", streaming=True))
+    except StreamingQueryException as refused:
+        if "another checkpoint" not in str(refused):
+            raise
+    else:
+        raise AssertionError("a second checkpoint took the run's name")
+    prepared.ingest(table, "second", read_topic(spark, root, "new", streaming=True))
+    return table.family("data")
+
+
 def q_truncate_table(spark, sf_dir):
     """Rows of each streamed family before and after emptying the table."""
     prepared = _prepared(spark, sf_dir)
@@ -553,7 +644,15 @@ _SELECTS = {
     "daily_stats_plan": "SELECT * FROM daily",
     "publish_topic": """
         SELECT 'sensor' AS topic, "offset", resid AS key, value FROM lines""",
-    "publish_files": "SELECT resid AS key, value FROM lines",
+    "publish_files": """
+        SELECT resid AS key, value,
+               row_number() OVER (
+                 PARTITION BY resid ORDER BY 'part=' || CAST(part AS VARCHAR), "offset"
+               ) AS rank
+        FROM (SELECT *, CAST(CASE WHEN "offset" % 1000 < 500
+                                  THEN floor(sqrt("offset" % 1000))
+                                  ELSE 100 - floor(sqrt(999 - "offset" % 1000))
+                             END AS BIGINT) AS part FROM lines)""",
     "several_topics": "SELECT * FROM data",
     "drain_counts": "SELECT batch, count(*) AS messages FROM readings GROUP BY batch",
     "drain_total": "SELECT count(*) AS messages FROM readings",
@@ -592,6 +691,17 @@ _SELECTS = {
                alert.psi AS alert_psi
         FROM data FULL JOIN alert USING (rowkey) ORDER BY rowkey""",
     "compacted_data": "SELECT * FROM data ORDER BY rowkey",
+    "contested_topics": f"""
+        SELECT rowkey, {", ".join(MEASURES)} FROM keyed
+        QUALIFY row_number() OVER (
+          PARTITION BY rowkey ORDER BY "offset" % 2 DESC, "offset" DESC) = 1""",
+    "compacted_runs": f"""
+        SELECT rowkey, {", ".join(MEASURES)} FROM keyed
+        QUALIFY row_number() OVER (
+          PARTITION BY rowkey
+          ORDER BY "offset" < (SELECT ceil(count(*) / 2) FROM events) DESC,
+                   "offset" DESC) = 1""",
+    "rerun_new_checkpoint": "SELECT * FROM data",
     "truncate_table": """
         SELECT 'data' AS family, (SELECT count(*) FROM data) AS rows_before,
                CAST(0 AS BIGINT) AS rows_after

@@ -13,7 +13,7 @@ from gaugeflow.operators import WideTable, show
 from gaugeflow.operators.wide_table import FAMILIES
 from gaugeflow.plans.jobs import publish_files, write_daily_stats
 from gaugeflow.schemas import TOPIC
-from gaugeflow.session import get_session, size_shuffle
+from gaugeflow.session import get_session, sized_shuffle
 from gaugeflow.sources.kafka import publish_kafka, read_kafka
 from gaugeflow.sources.lines import read_lines
 from gaugeflow.sources.topic import read_topic, topic_names
@@ -28,14 +28,18 @@ from gaugeflow.streaming import (
 )
 
 
+# What a batch takes at most unless --per-batch says otherwise. The rest waits for
+# the next batches; nothing is skipped.
+FILES_PER_BATCH = 100
+RECORDS_PER_BATCH = 10_000_000
+
+
 def _records(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.brokers:
-        return read_kafka(
-            spark, args.brokers, args.topic, True, records_per_batch=args.per_batch
-        )
-    return read_topic(
-        spark, args.topics, args.topic, True, files_per_batch=args.per_batch
-    )
+        records = args.per_batch or RECORDS_PER_BATCH
+        return read_kafka(spark, args.brokers, args.topic, True, records_per_batch=records)
+    files = args.per_batch or FILES_PER_BATCH
+    return read_topic(spark, args.topics, args.topic, True, files_per_batch=files)
 
 
 def _table(spark: SparkSession, args: argparse.Namespace) -> WideTable:
@@ -86,25 +90,23 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _stats(spark: SparkSession, args: argparse.Namespace) -> None:
     table = _table(spark, args)
-    size_shuffle(spark, table.folder("data"))
     write_daily_stats(table, echo=not args.quiet)
 
 
 def _scan(spark: SparkSession, args: argparse.Namespace) -> None:
     table = _table(spark, args)
-    size_shuffle(spark, table.root)
-    rows = (
-        table.scan_family(args.family, args.limit)
-        if args.family
-        else table.scan_wide(args.limit)
-    )
-    rows.show(args.limit, truncate=False)
+    with sized_shuffle(spark, table.root):
+        rows = (
+            table.scan_family(args.family, args.limit)
+            if args.family
+            else table.scan_wide(args.limit)
+        )
+        rows.show(args.limit, truncate=False)
 
 
 def _compact(spark: SparkSession, args: argparse.Namespace) -> None:
     table = _table(spark, args)
     families = [args.family] if args.family else list(FAMILIES)
-    size_shuffle(spark, *[table.folder(family) for family in families])
     for family in families:
         table.compact(family, args.idle)
 
@@ -132,7 +134,7 @@ def _parser() -> argparse.ArgumentParser:
         topic_options(added)
         added.add_argument("--run", required=True, help="name of this checkpoint")
         added.add_argument("--checkpoint", required=True)
-        added.add_argument("--per-batch", type=int, help="files or records per batch")
+        added.add_argument("--per-batch", type=int, help=f"files ({FILES_PER_BATCH}) or Kafka records ({RECORDS_PER_BATCH}) per batch")
 
     def long_running(added):
         added.add_argument("--bounded", action="store_true")

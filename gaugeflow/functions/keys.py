@@ -17,3 +17,14 @@ def row_key() -> Column:
 def day_key(rowkey: str | Column = "rowkey") -> Column:
     """Day key of a row key: the text before its first space."""
     return F.substring_index(rowkey, " ", 1)
+
+
+def day_folder(rowkey: str | Column = "rowkey") -> Column:
+    """Name of the folder that keeps a row key's day.
+
+    It follows from the day key alone: the text after its last ``_``, other
+    signs than letters and digits replaced. Days that share a name share a
+    folder, which changes no result.
+    """
+    day = F.substring_index(day_key(rowkey), "_", -1)
+    return F.concat(F.lit("d"), F.substring(F.regexp_replace(day, "[^0-9A-Za-z]", "-"), 1, 40))

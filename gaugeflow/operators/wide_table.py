@@ -1,16 +1,21 @@
 """A keyed wide table with the families ``data``, ``alert`` and ``stats``.
 
 Parquet has no upsert. Each family is a folder to which every batch adds its
-own ``run=<r>/batch=<b>`` folder of versioned rows; reading keeps the newest
-version per row key. Writing never reads or shuffles what is there, a retried
-batch replaces only itself, and a replayed topic repeats versions that are
-already there, so both leave the same table.
+own ``run=<r>/batch=<b>`` folder of versioned rows, kept apart by day; reading
+keeps the newest version per row key. Writing never reads or shuffles what is
+there, a retried batch replaces only itself, and a replayed topic repeats
+versions that are already there, so both leave the same table.
+
+The day is a function of the row key and of its day key, so neither the newest
+version nor daily statistics cross days. A day that only one compacted base
+holds is settled: its rows are current and are read without a shuffle. Which
+days those are comes from the names of the folders, whatever their size.
 """
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +27,12 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from gaugeflow.functions.keys import row_key
+from gaugeflow.functions.keys import day_folder, row_key
 from gaugeflow.operators.alerts import low_pressure
 from gaugeflow.operators.latest import newest
 from gaugeflow.operators.stats import stats_cells
 from gaugeflow.schemas import MEASURES, STATS_CELLS
+from gaugeflow.session import sized_shuffle
 from gaugeflow.sources import storage
 
 # The column families and their cells.
@@ -35,7 +41,7 @@ FAMILIES = {"data": MEASURES, "alert": ("psi",), "stats": STATS_CELLS}
 # Compacted rows sort before those of any run, whose name starts with a letter.
 _BASE_RUN = "0base"
 _RUN_NAME = re.compile(r"[a-z][a-z0-9_-]*")
-_STATS_RUN = "stats"
+STATS_RUN = "stats"
 
 # A version has a fixed width, so that the newest one is found by hashing. By
 # arrival it holds the run's place among all runs, the batch and the offset.
@@ -45,18 +51,6 @@ _NOBODY = "-"
 _OFFSETS = 10**19
 _BATCHES = 10**9
 
-# A limited scan of families larger than this asks for its few keys first. Each
-# probe that bounds them reads this many row keys at most; a limit beyond the
-# few is read without that step.
-_READ_WHOLE_BYTES = 256 * 1024 * 1024
-_PROBES = 2
-_PROBE_KEYS = 5_000
-_FEW_KEYS = 1_000
-
-# The batches after a base are few if their files are no larger than this; their
-# row keys, well under a million, are then broadcast.
-_SMALL_TAIL_BYTES = 16 * 1024 * 1024
-
 
 @dataclass(frozen=True)
 class WideTable:
@@ -121,8 +115,8 @@ class WideTable:
     # Writing
 
     def _put(self, rows: DataFrame, family: str, run: str, batch: int) -> str:
-        rows = rows.select("rowkey", *FAMILIES[family], "version")
-        return storage.write_batch(rows, self.folder(family), run, batch)
+        rows = rows.select("rowkey", *FAMILIES[family], "version", day_folder().alias("day"))
+        return storage.write_batch(rows, self.folder(family), run, batch, "day")
 
     def put_readings(
         self, sensor: DataFrame, run: str, batch: int, owner: str | None = None
@@ -145,11 +139,9 @@ class WideTable:
             version = (F.lit(arrived).cast(_VERSION) + F.col("offset")).cast(_VERSION)
         rows = sensor.withColumn("rowkey", row_key()).withColumn("version", version)
         written = self._put(rows, "data", run, batch)
-        reader = sensor.sparkSession.read.schema(self._schema("data"))
+        stored = self._stored(sensor.sparkSession, "data", written)
         # A small part of the batch: adaptive execution picks the file count.
-        alerts = low_pressure(reader.parquet(written)).select(
-            "rowkey", "psi", "version"
-        )
+        alerts = low_pressure(stored).select("rowkey", "psi", "version")
         self._put(alerts.hint("rebalance"), "alert", run, batch)
 
     def put_stats(self, stats: DataFrame, version: int | None = None) -> int:
@@ -161,117 +153,80 @@ class WideTable:
             (last,) = self.versions("stats").agg(F.max("version")).first()
             version = 0 if last is None else int(last) + 1
         rows = stats_cells(stats).withColumn("version", F.lit(version).cast(_VERSION))
-        self._put(rows, "stats", _STATS_RUN, version)
+        self._put(rows, "stats", STATS_RUN, version)
         return version
 
     # Reading
 
+    def _stored(self, spark: SparkSession, family: str, *folders: str) -> DataFrame:
+        """Versions in the given folders with their run, batch and day."""
+        names = [*storage.RUN_AND_BATCH, StructField("day", StringType())]
+        schema = StructType(self._schema(family).fields + names)
+        reader = spark.read.schema(schema).option("basePath", self.folder(family))
+        return reader.parquet(*folders)
+
     def versions(self, family: str) -> DataFrame:
         """Every stored version of a family's rows."""
-        return storage.read_batches(
-            self.spark, self.folder(family), self._schema(family)
-        )
+        return self._stored(self.spark, family, self.folder(family))
+
+    def batch_rows(self, family: str, run: str, batch: int) -> DataFrame:
+        """The versions that one batch wrote."""
+        folder = storage.batch_folder(self.folder(family), run, batch)
+        return self._stored(self.spark, family, folder)
 
-    def _small_tail(self, family: str) -> bool:
-        """Whether one base holds all but a few of the family's rows."""
+    def _batches(self, family: str) -> dict[tuple[str, int], set[str]]:
+        """The days in each batch folder, by run and batch."""
         root = self.folder(family)
-        runs = storage.folders(self.spark, root)
-        base = f"run={_BASE_RUN}"
-        if base not in runs or len(storage.folders(self.spark, f"{root}/{base}")) > 1:
-            return False
-        tail = [f"{root}/{run}" for run in runs if run != base]
-        return sum(storage.size(self.spark, run) for run in tail) <= _SMALL_TAIL_BYTES
+        found = {
+            (run, int(batch)): set()
+            for run, batch in storage.partitions(self.spark, root, "run", "batch")
+        }
+        for run, batch, day in storage.partitions(self.spark, root, "run", "batch", "day"):
+            found.setdefault((run, int(batch)), set()).add(day)
+        return found
 
     def family(self, family: str) -> DataFrame:
         """The family's current rows: the newest version per row key.
 
-        A compacted table's base has one row per key already. While the
-        batches after it are small, only rows under their keys are compared;
-        the rest of the base is read as it is, without a shuffle.
+        Only contested days are compared, those held by a batch that is not
+        compacted or by two bases (a compaction was lost halfway). Settled
+        days have one row per key already and are read without a shuffle.
         """
+        # First the files, then the names: a batch that arrives in between
+        # makes its days contested, and its rows come with the next read.
         versions, cells = self.versions(family), FAMILIES[family]
-        if not self._small_tail(family):
+        settled, contested = _settled_and_contested(self._batches(family))
+        if not settled:
             return newest(versions, cells, "version")
-        base = versions.where(F.col("run") == _BASE_RUN)
-        tail = versions.where(F.col("run") != _BASE_RUN)
-        keys = F.broadcast(tail.select("rowkey").distinct())
-        settled = base.join(keys, "rowkey", "left_anti").select("rowkey", *cells)
-        contested = base.join(keys, "rowkey", "left_semi").unionByName(tail)
-        return settled.unionByName(newest(contested, cells, "version"))
+        if not contested:
+            return versions.select("rowkey", *cells)
+        disputed = F.col("day").isin(sorted(contested))
+        base = versions.where(~disputed).select("rowkey", *cells)
+        return base.unionByName(newest(versions.where(disputed), cells, "version"))
 
     def row_count(self) -> DataFrame:
         """Number of rows that have ``data`` cells."""
         return self.family("data").agg(F.count(F.lit(1)).alias("rows"))
 
-    def _key_bound(self, family: str, limit: int) -> str | None:
-        """A row key with at least ``limit`` distinct keys up to it, if found.
-
-        Each probe looks at a bounded number of keys below the last bound, so
-        the second one sees few enough to come close to the answer.
-        """
-        bound = None
-        for _ in range(_PROBES):
-            keys = self.versions(family).select("rowkey")
-            if bound is not None:
-                keys = keys.where(F.col("rowkey") < bound)
-            found = sorted({key for (key,) in keys.head(_PROBE_KEYS)})
-            if len(found) < limit:
-                break
-            bound = found[limit - 1]
-        return bound
-
-    def _first_keys(self, families: list[str], limit: int) -> DataFrame:
-        """The smallest ``limit`` row keys over the given families.
-
-        All of them lie at or below the smallest bound of a family, so it
-        filters the files before the exact distinct. Without a bound (fewer
-        keys, or one key repeated) every key is read.
-        """
-        bounds = [self._key_bound(family, limit) for family in families]
-        bounds = [bound for bound in bounds if bound is not None]
-        keys = reduce(
-            DataFrame.union, [self.versions(f).select("rowkey") for f in families]
-        )
-        if bounds:
-            keys = keys.where(F.col("rowkey") <= min(bounds))
-        return keys.distinct().orderBy("rowkey").limit(limit)
-
-    def _scan(self, families: list[str], limit: int | None) -> list[DataFrame]:
-        """Current rows of each family, cut to the first ``limit`` keys if few.
-
-        Small families are read whole: cheaper than finding the keys first.
-        """
-        size = sum(storage.size(self.spark, self.folder(f)) for f in families)
-        if limit is None or limit > _FEW_KEYS or size <= _READ_WHOLE_BYTES:
-            return [self.family(family) for family in families]
-        keys = [key for (key,) in self._first_keys(families, limit).collect()]
-        if not keys:
-            return [self.family(family).limit(0) for family in families]
-        # The range prunes files, the list picks the rows.
-        wanted = F.col("rowkey").between(keys[0], keys[-1]) & F.col("rowkey").isin(keys)
-        return [
-            newest(self.versions(family).where(wanted), FAMILIES[family], "version")
-            for family in families
-        ]
-
     def scan_family(self, family: str, limit: int | None = None) -> DataFrame:
         """A family's current rows in row-key order, all or the first ``limit``."""
-        (rows,) = self._scan([family], limit)
-        rows = rows.orderBy("rowkey")
+        rows = self.family(family).orderBy("rowkey")
         return rows if limit is None else rows.limit(limit)
 
     def scan_wide(self, limit: int | None = None) -> DataFrame:
-        """Whole rows in row-key order, cells prefixed with their family."""
-        families = list(FAMILIES)
+        """Whole rows in row-key order, cells prefixed with their family.
+
+        A key among the first ``limit`` of the table is among the first
+        ``limit`` of each family that has it, so a limited scan joins only those.
+        """
         data, alert, stats = (
-            frame.select(
-                "rowkey",
-                *[F.col(c).alias(f"{family}_{c}") for c in FAMILIES[family]],
+            (self.family(family) if limit is None else self.scan_family(family, limit)).select(
+                "rowkey", *[F.col(c).alias(f"{family}_{c}") for c in FAMILIES[family]]
             )
-            for family, frame in zip(families, self._scan(families, limit))
+            for family in FAMILIES
         )
-        # Data and alerts are partitioned by row key already. A statistics key
-        # has no space and so never meets theirs: rows to add, not to join.
+        # A statistics key has no space and so never meets a reading's key: rows
+        # to add, not to join.
         rows = data.join(alert, "rowkey", "full_outer")
         wide = rows.unionByName(stats, allowMissingColumns=True).orderBy("rowkey")
         return wide if limit is None else wide.limit(limit)
@@ -279,39 +234,69 @@ class WideTable:
     # Maintenance
 
     def compact(self, family: str, idle: bool = False) -> int:
-        """Merge a family's batch folders into one base and return how many.
-
-        The base holds the newest versions sorted by row key, so that scans
-        and key ranges skip files. It is written before the folders it
-        replaces are deleted; a job lost in between leaves equal versions
-        twice, which reading merges. Each run's newest batch stays, because a
-        stream may be working on it, unless the table is ``idle``. Readers
-        that planned before the delete must run again.
+        """Merge a family's batch folders into the base and return how many.
+
+        Only days that the merged folders hold are read and written again; the
+        other days' files stay as they are. A base holds the newest versions
+        sorted by row key, so that scans and key ranges skip files. It is
+        written before what it replaces is deleted; a job lost in between
+        leaves equal versions twice, which reading merges. Each run's newest
+        batch stays, because a stream may be working on it, unless the table
+        is ``idle``. Readers that planned before the delete must run again.
         """
-        root = self.folder(family)
-        merged, bases = [], []
-        for name in storage.folders(self.spark, root):
-            run = name.removeprefix("run=")
-            batches = sorted(
-                int(folder.removeprefix("batch="))
-                for folder in storage.folders(self.spark, f"{root}/{name}")
-            )
-            if run == _BASE_RUN:
-                bases = batches
-            elif not idle:
-                batches = batches[:-1]
-            merged += [storage.batch_folder(root, run, batch) for batch in batches]
-        if len(merged) == len(bases) < 2:
-            return 0
-        schema = StructType(self._schema(family).fields + storage.RUN_AND_BATCH)
-        versions = (
-            self.spark.read.schema(schema).option("basePath", root).parquet(*merged)
-        )
-        # The aggregate comes first: it merges a hot key's versions before the
-        # range shuffle that would send them all to one task.
-        last = newest(versions, (*FAMILIES[family], "version"), "version")
-        base = last.repartitionByRange("rowkey").sortWithinPartitions("rowkey")
-        self._put(base, family, _BASE_RUN, max(bases, default=-1) + 1)
-        for folder in merged:
+        batches = self._batches(family)
+        newest_batch = {}
+        for run, batch in batches:
+            newest_batch[run] = max(batch, newest_batch.get(run, -1))
+        bases = {b: days for (run, b), days in batches.items() if run == _BASE_RUN}
+        tail = {
+            (run, batch): days
+            for (run, batch), days in batches.items()
+            if run != _BASE_RUN and (idle or batch != newest_batch[run])
+        }
+        held = Counter(day for days in bases.values() for day in days)
+        twice = {day for day, count in held.items() if count > 1}
+        touched = twice.union(*tail.values())
+        replaced = {batch: days & touched for batch, days in bases.items() if days & touched}
+        merged = [self._folder_of(family, *name) for name in tail]
+        parts = [
+            self._folder_of(family, _BASE_RUN, batch, day)
+            for batch, days in replaced.items()
+            for day in sorted(days)
+        ]
+        if touched:
+            read = [folder for folder, days in zip(merged, tail.values()) if days] + parts
+            # The aggregate comes first: it merges a hot key's versions before
+            # the range shuffle, in which a busy day takes several tasks.
+            with sized_shuffle(self.spark, *read):
+                last = newest(
+                    self._stored(self.spark, family, *read),
+                    (*FAMILIES[family], "version"),
+                    "version",
+                )
+                order = (day_folder(), F.col("rowkey"))
+                base = last.repartitionByRange(*order).sortWithinPartitions(*order)
+                self._put(base, family, _BASE_RUN, max(bases, default=-1) + 1)
+        emptied = [
+            self._folder_of(family, _BASE_RUN, batch)
+            for batch, days in bases.items()
+            if days <= touched
+        ]
+        for folder in merged + parts + emptied:
             storage.delete(self.spark, folder)
-        return len(merged)
+        return len(merged) + len(replaced)
+
+    def _folder_of(self, family: str, run: str, batch: int, day: str | None = None) -> str:
+        folder = storage.batch_folder(self.folder(family), run, batch)
+        return folder if day is None else f"{folder}/day={day}"
+
+
+def _settled_and_contested(
+    batches: dict[tuple[str, int], set[str]],
+) -> tuple[set[str], set[str]]:
+    """Days that one base alone holds, and all other days."""
+    seen, contested = set(), set()
+    for (run, _), days in batches.items():
+        contested |= days if run != _BASE_RUN else days & seen
+        seen |= days
+    return seen - contested, contested

@@ -2,6 +2,8 @@
 
 import math
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -17,7 +19,6 @@ DEFAULTS = {
 # A shuffled row is about twice as large as the compressed Parquet it came from.
 _SHUFFLE_EXPANSION = 2
 _BYTES_PER_PARTITION = 256 * 1024 * 1024
-_MAX_PARTITIONS = 50_000
 
 
 def get_session(app_name: str = "gaugeflow", **conf: str) -> SparkSession:
@@ -44,15 +45,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def size_shuffle(spark: SparkSession, *paths: str) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` to what the input size asks for.
+@contextmanager
+def sized_shuffle(spark: SparkSession, *paths: str) -> Iterator[int]:
+    """Inside, ``spark.sql.shuffle.partitions`` is what the input size asks for.
 
-    Batch jobs call this once before a plan that shuffles the whole input;
-    adaptive execution merges partitions that turn out small.
+    For jobs that shuffle a whole input and run inside the block; adaptive
+    execution merges partitions that turn out small. The session's own value
+    is the least and comes back afterwards.
     """
     size = sum(storage.size(spark, path) for path in paths)
     wanted = math.ceil(size * _SHUFFLE_EXPANSION / _BYTES_PER_PARTITION)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(current, min(wanted, _MAX_PARTITIONS))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    partitions = max(int(before), wanted)
     spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    return partitions
+    try:
+        yield partitions
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -1,5 +1,7 @@
 """Folder operations on whatever file system a path names."""
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -23,6 +25,16 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     )
 
 
+def partitions(spark: SparkSession, path: str, *names: str) -> list[tuple[str, ...]]:
+    """Values of the ``name=value`` folders nested below ``path``, one listing for all."""
+    fs, _ = _open(spark, path)
+    plain = re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+    pattern = "/".join([plain, *[f"{name}=*" for name in names]])
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(pattern)) or []
+    paths = [str(status.getPath()).split("/")[-len(names):] for status in found]
+    return [tuple(part.split("=", 1)[1] for part in parts) for parts in paths]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _open(spark, path)
     fs.delete(hadoop_path, True)
@@ -51,10 +63,15 @@ def batch_folder(root: str, run: str, batch: int) -> str:
     return f"{root}/run={run}/batch={batch}"
 
 
-def write_batch(frame: DataFrame, root: str, run: str, batch: int) -> str:
-    """Write one batch to its own folder, so that a retry replaces only itself."""
+def write_batch(frame: DataFrame, root: str, run: str, batch: int, *parts: str) -> str:
+    """Write one batch to its own folder, so that a retry replaces only itself.
+
+    ``parts`` are columns whose values get folders of their own below it.
+    """
     folder = batch_folder(root, run, batch)
-    frame.write.mode("overwrite").parquet(folder)
+    # A dynamic mode of the session would leave a lost try's other folders.
+    writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*parts).parquet(folder)
     return folder
 
 

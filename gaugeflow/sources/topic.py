@@ -62,8 +62,8 @@ def publish(
     """Append lines to a topic as keyed records and return the segment number.
 
     Nothing is shuffled: each task keys and writes its own lines. Offsets grow
-    from call to call, with gaps between tasks. Lines that already have an
-    ``offset`` column keep it. Naming a ``segment`` makes a repeated call replace
+    from call to call, with gaps between tasks, and follow the lines' ``position``
+    if they have one. Lines that already have an ``offset`` column keep it. Naming a ``segment`` makes a repeated call replace
     what the first wrote; without a name a new segment is written, also if
     another publisher takes its number first. ``files`` spreads the segment over
     that many files, for readers that take a number of files per batch.
@@ -75,7 +75,9 @@ def publish(
         numbered = lines
         if "offset" not in lines.columns:
             first = _next_offset(spark, folder, [n for n in known if n < number])
-            numbered = lines.withColumn("offset", F.monotonically_increasing_id() + first)
+            placed = "position" in lines.columns
+            place = F.col("position") if placed else F.monotonically_increasing_id()
+            numbered = lines.withColumn("offset", place + first)
         records = keyed_records(numbered).select(
             "key", "value", "partition", "offset", F.current_timestamp().alias("timestamp")
         )

@@ -1,6 +1,7 @@
 from gaugeflow.streaming.drain import drain, drain_counts, drain_total
 from gaugeflow.streaming.ingest import stream_to_table
 from gaugeflow.streaming.reports import (
+    RECEIVED,
     REPORT,
     read_report,
     sql_report,
@@ -8,6 +9,7 @@ from gaugeflow.streaming.reports import (
 )
 
 __all__ = [
+    "RECEIVED",
     "REPORT",
     "drain",
     "drain_counts",

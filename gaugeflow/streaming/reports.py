@@ -9,11 +9,14 @@ from pyspark.sql.types import StructType
 
 from gaugeflow.functions.parsing import parse_sensor
 from gaugeflow.operators.preview import show
-from gaugeflow.operators.reports import sensor_day_report
+from gaugeflow.operators.reports import received_count, sensor_day_report
 from gaugeflow.operators.views import sensor_sql
 from gaugeflow.sources import storage
 from gaugeflow.streaming.query import start
 
+#: The stored report that every run makes: records received per batch.
+RECEIVED = "received"
+
 Report = Callable[[DataFrame], DataFrame]
 
 REPORT: dict[str, Report] = {"sensor_day": sensor_day_report}
@@ -35,12 +38,16 @@ def stream_reports(
 ) -> StreamingQuery:
     """Run every report on every non-empty batch and keep the results.
 
-    Result ``name`` of a batch goes to its own folder below ``<root>/<name>``.
-    A single report parses the batch as it reads it; several share one parsed
-    copy, which is also counted first so that a bad line fails the batch
-    before anything is written. ``echo`` prints the results.
+    Result ``name`` of a batch goes to its own folder below ``<root>/<name>``, the
+    number of its records to ``<root>/received``. A single report parses the
+    batch as it reads it; several share one parsed copy, which is also run
+    through first so that a bad line fails the batch before anything is
+    written. ``echo`` prints the results.
     """
 
+    if RECEIVED in reports:
+        raise ValueError(f"every run stores a report {RECEIVED!r} already")
+
     def handle(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
             return
@@ -50,9 +57,8 @@ def stream_reports(
             sensor = sensor.persist()
         try:
             if shared:
-                received = sensor.count()
+                sensor.count()
             if echo:
-                print(f"count received {received}")
                 show("sensor data", sensor)
             for name, report in reports.items():
                 written = storage.write_batch(
@@ -60,6 +66,13 @@ def stream_reports(
                 )
                 if echo:
                     show(name, batch.sparkSession.read.parquet(written))
+            # Reads no column of the records; last, after every line has parsed.
+            counted = storage.write_batch(
+                received_count(batch), f"{root}/{RECEIVED}", run, number
+            )
+            if echo:
+                (received,) = batch.sparkSession.read.parquet(counted).first()
+                print(f"count received {received}")
         finally:
             if shared:
                 sensor.unpersist()

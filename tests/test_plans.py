@@ -1,5 +1,7 @@
 """Plans that have to hold at scale."""
 
+import re
+
 import pytest
 from helpers import frame, line, send, table
 
@@ -13,7 +15,6 @@ from gaugeflow.operators import (
     sensor_day_report,
     sensor_rows,
 )
-from gaugeflow.operators import wide_table
 from gaugeflow.plans.event_readings import event_readings, reading_lines
 from gaugeflow.sources.topic import keyed_records, read_topic
 
@@ -62,19 +63,27 @@ def test_newest_rows_hash_aggregate_before_the_shuffle(made):
     assert "partial_max_by" in text
 
 
-def test_compacted_rows_are_not_shuffled(spark, tmp_path):
+def test_only_days_of_the_tail_are_shuffled(spark, tmp_path):
     made = table(spark, tmp_path)
+    dates = [f"{month}/1/24" for month in range(1, 10)]
     for batch in range(3):
-        lines = frame(spark, [line(f"s{i}") for i in range(9)], offsets=True)
+        lines = frame(spark, [line(date=date) for date in dates], offsets=True)
         made.put_readings(parse_sensor(lines, keep=("offset",)), "first", batch)
-    made.compact("data")
-    text = plan(made.family("data"))
+    made.compact("data", idle=True)
+    # Nothing after the base: no shuffle at all.
+    assert "Exchange" not in plan(made.family("data"))
+    lines = frame(spark, [line(date=dates[4])], offsets=True)
+    made.put_readings(parse_sensor(lines, keep=("offset",)), "first", 9)
+    rows = made.family("data")
+    text = plan(rows)
     base, contested = text.split("HashAggregate", 1)
-    assert "LeftAnti" in base and "Exchange hashpartitioning" not in base
-    assert "LeftSemi" in contested
+    assert "Exchange" not in base and re.search(r"NOT \(?day#", base)
+    assert contested.count("Exchange") == 1 and "d5-1-24" in contested
+    assert "Join" not in text and text.count("FileScan") == 2
+    assert rows.count() == 9
     # Only per-day partial results of the base are shuffled.
     text = plan(daily_stats(sensor_rows(made.family("data"))))
-    assert "partial_max(hz" in text.split("LeftAnti")[0]
+    assert "partial_max(hz" in re.split(r"NOT \(?day#", text)[0]
 
 
 def test_daily_stats_shuffle_rows_once_and_partials_once(made):
@@ -98,11 +107,11 @@ def test_newest_value_is_not_filtered_before_it_is_known(made):
     assert "LessThan" not in plan(low_pressure(made.family("data")))
 
 
-def test_limited_scan_of_a_large_family_filters_files_by_key(made, monkeypatch):
-    monkeypatch.setattr(wide_table, "_READ_WHOLE_BYTES", -1)
+def test_limited_scans_are_top_k(made):
     text = plan(made.scan_family("data", 3))
-    assert "LessThanOrEqual(rowkey," in text
-    assert "TakeOrderedAndProject" in text
+    assert "TakeOrderedAndProject" in text and "rangepartitioning" not in text
+    text = plan(made.scan_wide(3))
+    assert text.count("TakeOrderedAndProject") >= 3 and "rangepartitioning" not in text
 
 
 def test_wide_scan_joins_in_place(made):
@@ -122,7 +131,7 @@ def test_previews_are_top_k(made):
 def test_no_query_runs_python_per_row(spark):
     streamed = {"several_topics", "ingest_stream", "truncate_table"}
     for name, query in contract.queries().items():
-        if name.startswith(("stream_", "drain_", "publish_", "replayed", "compacted")):
+        if name.startswith(("stream_", "drain_", "publish_", "replayed", "compacted", "contested", "rerun")):
             continue
         if name in streamed or name == "write_stats_twice":
             continue

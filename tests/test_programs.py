@@ -5,7 +5,7 @@ from helpers import line, rows
 
 from gaugeflow.__main__ import main
 from gaugeflow.operators import WideTable
-from gaugeflow.session import shared_folder, size_shuffle
+from gaugeflow.session import shared_folder, sized_shuffle
 
 
 def test_programs(spark, tmp_path, capsys):
@@ -76,6 +76,9 @@ def test_shuffle_grows_with_the_input(spark, tmp_path):
     big = tmp_path / "big"
     with big.open("wb") as file:
         file.truncate(4 * 1024**3)
-    assert size_shuffle(session, str(tmp_path / "missing")) == 8
-    assert size_shuffle(session, str(big)) == 32
-    assert session.conf.get("spark.sql.shuffle.partitions") == "32"
+    with sized_shuffle(session, str(tmp_path / "missing")) as partitions:
+        assert partitions == 8
+    with sized_shuffle(session, str(big)) as partitions:
+        assert partitions == 32
+        assert session.conf.get("spark.sql.shuffle.partitions") == "32"
+    assert session.conf.get("spark.sql.shuffle.partitions") == "8"

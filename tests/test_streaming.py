@@ -6,6 +6,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from gaugeflow.operators import first_rows, received_count, sample_alert
+from gaugeflow.plans.jobs import write_daily_stats
 from gaugeflow.sources.topic import publish, read_topic
 from gaugeflow.streaming import (
     REPORT,
@@ -49,6 +50,19 @@ def test_reports_are_per_batch_not_running(spark, topics, tmp_path):
     ]
 
 
+def test_received_is_stored_and_skips_empty_batches(spark, topics, tmp_path):
+    send(spark, topics, [])
+    send(spark, topics, [line("d"), line("e")])
+    root, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    stream_reports(
+        stream(spark, topics), root, "first", checkpoint
+    ).awaitTermination()
+    found = read_report(spark, root, "received", "first", "received bigint")
+    assert rows(found, "batch", "received") == [(0, 3), (1, 1), (2, 1), (4, 2)]
+    with pytest.raises(ValueError, match="received"):
+        stream_reports(stream(spark, topics), root, "x", checkpoint, {"received": received_count})
+
+
 def test_checkpoint_resumes_after_the_last_batch(spark, topics, tmp_path):
     root, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     records = stream(spark, topics)
@@ -197,3 +211,23 @@ def test_stream_equals_batch(spark, tmp_path):
         assert rows(streamed.family(family), "rowkey", "psi") == rows(
             whole.family(family), "rowkey", "psi"
         )
+
+
+def test_previews_cost_one_parse_and_one_pass(spark, topics, tmp_path, capsys):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def tick(value):
+        seen.add(1)
+        return value
+
+    records = stream(spark, topics).withColumn("value", tick.asNondeterministic()("value"))
+    made = table(spark, tmp_path / "table")
+    stream_to_table(
+        records, made, "first", str(tmp_path / "c"), echo=True
+    ).awaitTermination()
+    assert seen.value == 5
+    assert "first alert" in capsys.readouterr().out
+    write_daily_stats(made, echo=True)
+    printed = capsys.readouterr().out
+    assert "rows 4" in printed and "maxhz" in printed

@@ -70,6 +70,22 @@ def test_line_file_keeps_order_and_blank_lines(spark, tmp_path):
     assert [row.value for row in records.collect()] == texts
 
 
+@pytest.mark.parametrize("sizes", [[1, 51, 400], [400, 51, 1], [0, 7, 0, 7]])
+def test_offsets_follow_the_names_of_files(spark, tmp_path, sizes):
+    source, topics = tmp_path / "lines", tmp_path / "topics"
+    source.mkdir()
+    texts = []
+    for number, size in enumerate(sizes):
+        lines = [f"P,{number} {i}" for i in range(size)]
+        (source / f"day {number}.csv").write_text("".join(text + "\n" for text in lines))
+        texts += lines
+    publish_files(spark, str(source), str(topics), "sensor")
+    publish_files(spark, str(source), str(topics), "sensor")
+    records = read_topic(spark, str(topics)).orderBy("offset").collect()
+    assert [row.value for row in records] == texts * 2
+    assert len({row.offset for row in records}) == len(records)
+
+
 def test_subscription_to_several_topics(spark, tmp_path):
     send(spark, tmp_path, ["a,1"], topic="one")
     send(spark, tmp_path, ["b,1", "b,2"], topic="two")

@@ -1,12 +1,14 @@
 """The keyed wide table."""
 
+import shutil
+from pathlib import Path
+
 import pytest
 from helpers import frame, ingest, line, rows, send, table
 from pyspark.sql import functions as F
 
 from gaugeflow.functions import parse_sensor
 from gaugeflow.operators import daily_stats, sensor_rows, stats_cells
-from gaugeflow.operators import wide_table as module
 from gaugeflow.plans.jobs import write_daily_stats
 from gaugeflow.schemas import SENSOR_ROW, STATS_CELLS
 
@@ -33,11 +35,7 @@ def test_alert_cell_outlives_a_later_normal_reading(spark, tmp_path):
     assert rows(made.family("alert"), "psi") == [(3.0,)]
 
 
-@pytest.mark.parametrize("whole_bytes", [-1, 2**28])
-def test_batch_without_alerts_and_empty_table(
-    spark, tmp_path, monkeypatch, whole_bytes
-):
-    monkeypatch.setattr(module, "_READ_WHOLE_BYTES", whole_bytes)
+def test_batch_without_alerts_and_empty_table(spark, tmp_path):
     made = table(spark, tmp_path)
     for family in ("data", "alert", "stats"):
         assert made.family(family).isEmpty()
@@ -154,11 +152,7 @@ def scanned(request, spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize("limit", [1, 50, 10_000])
-@pytest.mark.parametrize("probe", [None, 10, 5_000])
-def test_limited_scans_are_exact(scanned, monkeypatch, limit, probe):
-    if probe is not None:
-        monkeypatch.setattr(module, "_READ_WHOLE_BYTES", -1)
-        monkeypatch.setattr(module, "_PROBE_KEYS", probe)
+def test_limited_scans_are_exact(scanned, limit):
     made, lines = scanned
     data, alert = brute_force(lines)
     keys = [row.rowkey for row in made.scan_family("alert", limit).collect()]
@@ -271,11 +265,8 @@ def test_compaction_leaves_the_newest_batch_of_a_run(spark, tmp_path):
     assert made.family("data").count() == 3
 
 
-@pytest.mark.parametrize("small_tail", [True, False])
 @pytest.mark.parametrize("by_arrival", [True, False])
-def test_base_with_later_batches(spark, tmp_path, monkeypatch, small_tail, by_arrival):
-    if not small_tail:
-        monkeypatch.setattr(module, "_SMALL_TAIL_BYTES", 0)
+def test_base_with_later_batches(spark, tmp_path, by_arrival):
     lines = readings(500, hot=150)
     made = table(spark, tmp_path, by_arrival)
     for batch in range(3):
@@ -312,3 +303,47 @@ def test_truncate_then_reload(spark, tmp_path):
     ingest(spark, tmp_path / "topics", made, tmp_path / "c2")
     write_daily_stats(made)
     assert as_dict(made.scan_wide()) == full
+
+
+def files_of(made, family, day):
+    return sorted(p.name for p in Path(made.folder(family)).glob(f"run=*/batch=*/day={day}/*.parquet"))
+
+
+def test_compaction_touches_only_days_of_the_tail(spark, tmp_path):
+    made = table(spark, tmp_path)
+    days = [f"{month}/1/24" for month in range(1, 7)]
+    put(spark, made, [line(date=day, psi=1.0) for day in days])
+    made.compact("data", idle=True)
+    before = {day: files_of(made, "data", f"d{day.replace('/', '-')}") for day in days}
+    put(spark, made, [line(date=days[2], psi=2.0)], first_offset=9, batch=1)
+    assert made.compact("data", idle=True) == 2
+    after = {day: files_of(made, "data", f"d{day.replace('/', '-')}") for day in days}
+    assert [day for day in days if before[day] != after[day]] == [days[2]]
+    psi = dict(rows(made.family("data"), "rowkey", "psi"))
+    assert psi == {f"a_{day} 0:00": 2.0 if day == days[2] else 1.0 for day in days}
+
+
+def test_two_bases_of_a_day_are_merged(spark, tmp_path):
+    """What a compaction leaves that was lost before its deletes."""
+    made = table(spark, tmp_path)
+    put(spark, made, [line(psi=1.0), line("b", "2/1/24")])
+    made.compact("data", idle=True)
+    base = Path(made.folder("data")) / "run=0base"
+    shutil.copytree(base / "batch=0" / "day=d1-1-24", base / "batch=1" / "day=d1-1-24")
+    assert made.family("data").count() == made.row_count().first().rows == 2
+    assert made.compact("data") == 2
+    assert made.versions("data").count() == made.family("data").count() == 2
+
+
+def test_any_text_may_stand_where_the_date_is(spark, tmp_path):
+    made = table(spark, tmp_path)
+    dates = ["", " ", "_", "a=b", "%2F", "..", "*{}[]", "é" * 300, "x y_z", "__HIVE_DEFAULT_PARTITION__"]
+    put(spark, made, [line(date=date, psi=1.0) for date in dates])
+    put(spark, made, [line(date=date, psi=2.0) for date in dates], first_offset=99, batch=1)
+    expected = sorted((f"a_{date} 0:00", 2.0) for date in dates)
+    assert rows(made.family("data"), "rowkey", "psi") == expected
+    made.compact("data", idle=True)
+    assert rows(made.family("data"), "rowkey", "psi") == expected
+    put(spark, made, [line(date="x y_z", psi=3.0)], first_offset=999, batch=2)
+    expected = sorted((k, 3.0 if "x y_z" in k else v) for k, v in expected)
+    assert rows(made.family("data"), "rowkey", "psi") == expected
