@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 
 from gaugeflow.llm import (
     best_fit,
+    extendible_hash,
+    fill_middle,
     html_text,
     order_minhash,
     permutation_index,
     rp_forest,
     source_mix,
     suffix_dedup,
+    token_alignment,
     url_filter,
     warc_store,
     zstd_language,
 )
+from gaugeflow.llm.frames import stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +76,26 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_extendible_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extendible_hash.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
+    text = fill_middle.restored(F.col("form"), F.col("output"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = token_alignment.align_tokens(_table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_links") > 0, F.sha2("groups", 256)).otherwise("")
+    aligned = stored(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    counted = token_alignment.alignment_counts(aligned)
+    names = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps")
+    return counted.select(*names)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {name: f for name, f in globals().items() if name.startswith("op")}
     return {**own, "pipeline": corpus_pipeline.run}
@@ -143,6 +167,41 @@ _SQL = {
           coalesce(best.verdict, CASE WHEN listed.canonical IS NULL THEN 'allow' ELSE 'block' END)
             AS verdict
         FROM ruled LEFT JOIN listed USING (canonical)""",
+    "op11_extendible_hash": r"""
+        WITH texts AS (
+          SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id,
+               count(*) OVER (PARTITION BY t) AS group_size,
+               row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256
+        FROM texts""",
+    "op12_fill_middle": r"""
+        WITH texts AS (
+          SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+          FROM documents
+        ), lines AS (
+          SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS u,
+                 list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS d
+          FROM texts
+        ), cuts AS (
+          SELECT *, len(u) AS n, least(d[1] % (len(u) + 1), d[2] % (len(u) + 1)) AS a,
+                 greatest(d[1] % (len(u) + 1), d[2] % (len(u) + 1)) AS b,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>')
+                        OR contains(text, '<M>') OR d[3] % 100 >= 100 THEN 'plain'
+                      WHEN d[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+          FROM lines
+        ), parted AS (
+          SELECT doc_id, n, form, text, array_to_string(u[1:a], '') AS p,
+                 array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s
+          FROM cuts
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text
+                      WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(CASE form WHEN 'plain' THEN text ELSE p || m || s END) AS restored_sha256
+        FROM parted""",
 }
 
 
