@@ -2,8 +2,10 @@
 
 import math
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.session import shared_folder
@@ -37,3 +39,26 @@ def sized_broadcast(frame: DataFrame, rows: int, row_bytes: int) -> DataFrame:
 
 def parts(rows: int, rows_per_part: int) -> int:
     return max(1, math.ceil(rows / rows_per_part))
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Inside, Spark hands Python at most ``rows`` rows at a time.
+
+    For jobs that run inside the block on rows with whole texts; buffers on either
+    side are then a few megabytes. The session's own value comes back afterwards.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def slices(batches, rows: int = 256):
+    """Arrow batches cut into smaller ones, for code that makes Python objects of them."""
+    for batch in batches:
+        for start in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(start, rows)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.llm.components import components
-from gaugeflow.llm.frames import sized_broadcast, stored
+from gaugeflow.llm.frames import sized_broadcast, slices, stored
 from gaugeflow.llm.vectors import encoded_vectors, matrix
 
 #: The trees are fitted on about this many vectors; all vectors are placed in them.
@@ -24,7 +24,7 @@ SAMPLE_ROWS = 40_000
 _MIN_NODE_SAMPLE = 16
 _BLOCK_ROWS = 1024
 _LEAF_COLUMNS = 4096
-_LEAVES = "leaf long, id long, n long, vec binary, leaves array<long>"
+_LEAVES = "kin binary, leaf long, id long, n long, vec binary, leaves array<long>"
 _FOUND = "id long, links long, root long"
 
 
@@ -77,10 +77,10 @@ def _leaves_of(unit: np.ndarray, cuts: list[dict], directions: np.ndarray, spill
 
 
 def _placer(forests: dict, trees: int, depth: int, seed: int, spill: float):
-    from zlib import crc32
+    from hashlib import sha1
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1024):
             labels, blobs = batch.column("label").to_pylist(), batch.column("vec").to_pylist()
             ids, numbers = batch.column("id").to_pylist(), batch.column("n").to_pylist()
             groups: dict = {}
@@ -92,16 +92,17 @@ def _placer(forests: dict, trees: int, depth: int, seed: int, spill: float):
                 cuts = forests.get((label, size), [{}] * trees)
                 spread = spill / math.sqrt(size)
                 placed = _leaves_of(unit, cuts, _directions(trees, depth, size, seed), spread)
-                base = crc32(f"{label}|{size}".encode()) << 31
+                # Only vectors of one label and length meet; leaves are named within these.
+                kin = sha1(f"{size}|{label}".encode()).digest()
                 for row, leaves in zip(rows, placed):
-                    names = [base ^ (hash((tree, node)) & 0x7FFFFFFF) for tree, node in leaves]
-                    out += [(name, ids[row], numbers[row], blobs[row], names) for name in set(names)]
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-            columns = list(zip(*out)) or [[]] * 5
+                    names = [hash((tree, node)) for tree, node in leaves]
+                    out += [(kin, name, ids[row], numbers[row], blobs[row], names) for name in set(names)]
+            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+            columns = list(zip(*out)) or [[]] * 6
             for start in range(0, max(1, len(out)), 4096):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c[start : start + 4096], k) for c, k in zip(columns, kinds)],
-                    names=["leaf", "id", "n", "vec", "leaves"],
+                    names=["kin", "leaf", "id", "n", "vec", "leaves"],
                 )
 
     return run
@@ -134,7 +135,7 @@ def _roots(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 def _comparer(threshold: float):
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
-        leaf, low, high = key
+        _, leaf, low, high = key
         rows = rows.sort_values("id", ignore_index=True)
         unit = _unit(matrix(rows["vec"].tolist()))
         ids, n, block = (rows[c].to_numpy() for c in ("id", "n", "block"))
@@ -205,18 +206,18 @@ def link_vectors(
     )
     placed = stored(placed, "leaves")
     sizes = stored(
-        placed.groupBy("leaf").count().select("leaf", F.ceil(F.col("count") / _BLOCK_ROWS).cast("int").alias("blocks")),
+        placed.groupBy("kin", "leaf").count().select("kin", "leaf", F.ceil(F.col("count") / _BLOCK_ROWS).cast("int").alias("blocks")),
         "sizes",
     )
-    sizes = sized_broadcast(sizes, sizes.count(), 24)
+    sizes = sized_broadcast(sizes, sizes.count(), 64)
     block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    blocked = placed.join(sizes, "leaf").withColumn("block", block)
+    blocked = placed.join(sizes, ["kin", "leaf"]).withColumn("block", block)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     blocked = blocked.withColumn("other", other).select(
-        "leaf", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "kin", "leaf", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         "block", "id", "n", "vec", "leaves",
     )
-    found = blocked.groupBy("leaf", "low", "high").applyInPandas(_comparer(threshold), _FOUND)
+    found = blocked.groupBy("kin", "leaf", "low", "high").applyInPandas(_comparer(threshold), _FOUND)
     found = stored(found, "found")
     sums = found.groupBy("id").agg(F.sum("links").alias("links"))
     grouped = components(found, "id", "root")

@@ -65,6 +65,15 @@ def test_odd_vectors_link_with_nothing(spark):
     assert found == sorted([*linked, *alone, (None, 0, None, False)], key=repr)
 
 
+def test_labels_never_meet_whatever_their_hash(spark):
+    rows = [(i, [1.0, 2.0, 3.0, 4.0], label) for i, label in enumerate(["gnyijstj", "etislvlf"] * 3)]
+    rows += [(10, [1.0, 2.0], "gnyijstj"), (11, [1.0, 2.0], "etislvlf")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    found = rows_of(link_vectors(frame))
+    pairs = [(i, 2, i % 2, i < 2) for i in range(6)]
+    assert found == sorted([*pairs, (10, 0, 10, True), (11, 0, 11, True)], key=repr)
+
+
 def test_empty_table(spark):
     empty = table(spark, [], VECTORS)
     assert link_vectors(empty).count() == 0
