@@ -44,7 +44,10 @@ _SCOPE = frozenset("ul ol dl table td th body html article section div aside mai
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
 )
-_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_TAG_START = re.compile(r"</?[a-zA-Z]")
+_NAME_END = re.compile(r"[\s/>]")
+_TAG_SIGN = re.compile(r"[>\"']")
+_ATTRIBUTE = re.compile(r"(?<![^\s=/>\"'])([^\s=/>\"']++)\s*+=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _ODDS_LIMIT = 30.0
 _OTHER = "other"  # any tag, for those not in the labelled pages
 
@@ -70,6 +73,84 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(text)} if "=" in text else {}
 
 
+class _Tokens:
+    """Tokens of a page in order, in time linear in its length.
+
+    After the first tag that never ends, whether a tag ends is found through the
+    signs that can decide it: the next ``>`` or quote after its name, and from a
+    quote the next one after its partner. What follows from a sign is remembered,
+    and so is the next sign from where the last tag's name ended.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.broken = source, False
+        self.ends: dict[int, bool] = {}
+        self.ahead = {_NAME_END: (0, 0), _TAG_SIGN: (0, 0)}
+
+    def next(self, at: int) -> re.Match | None:
+        while (at := self.source.find("<", at)) >= 0:
+            is_tag = _TAG_START.match(self.source, at) is not None
+            if not (is_tag and self.broken) or self._ends(at):
+                if found := _TOKEN.match(self.source, at):
+                    return found
+                self.broken |= is_tag
+            at += 1
+        return None
+
+    def _next_sign(self, pattern: re.Pattern, at: int) -> int:
+        """First place of a sign from ``at``, which never goes back; the size if none."""
+        start, found = self.ahead[pattern]
+        if not start <= at <= found:
+            sign = pattern.search(self.source, at)
+            found = sign.start() if sign else len(self.source)
+            self.ahead[pattern] = (at, found)
+        return found
+
+    def _ends(self, at: int) -> bool:
+        sign = self._next_sign(_TAG_SIGN, self._next_sign(_NAME_END, at + 2))
+        passed = []
+        while sign not in self.ends:
+            passed.append(sign)
+            if sign == len(self.source) or self.source[sign] == ">":
+                self.ends[sign] = sign < len(self.source)
+                break
+            partner = self.source.find(self.source[sign], sign + 1)
+            if partner < 0:
+                self.ends[sign] = False
+                break
+            further = _TAG_SIGN.search(self.source, partner + 1)
+            sign = further.start() if further else len(self.source)
+        for place in passed:
+            self.ends[place] = self.ends[sign]
+        return self.ends[sign]
+
+
+class _Stack:
+    """Open elements (tag, number of its block) with the places of each tag."""
+
+    def __init__(self):
+        self.open: list[tuple[str, int]] = []
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, tag: str, block: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, block))
+
+    def _last(self, tags) -> int:
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=-1)
+
+    def pop_to(self, names, scope) -> list[tuple[str, int]]:
+        """Takes the innermost element of ``names`` off, with all in it, unless one of ``scope`` is in it."""
+        place = self._last(names)
+        if place < 0 or place < self._last(scope):
+            return []
+        gone = self.open[place:]
+        for tag, _ in gone:
+            self.places[tag].pop()
+        del self.open[place:]
+        return gone
+
+
 def parse_page(source: str) -> Page:
     """Elements in page order and the runs of text between them.
 
@@ -77,14 +158,15 @@ def parse_page(source: str) -> Page:
     unknown end tags, a page that just stops, ``<`` that starts no tag.
     """
     elements, runs = [Element("#page", -1)], []
-    stack: list[tuple[str, int]] = [("#page", 0)]  # inline elements belong to the block above
+    stack = _Stack()  # inline elements belong to the block above
+    stack.push("#page", 0)
     links = 0
 
     def add_text(text: str) -> None:
         if not text:
             return
         text = html.unescape(text)
-        at = stack[-1][1]
+        at = stack.open[-1][1]
         runs.append((at, text))
         size = len(text) - text.count(" ")
         element = elements[at]
@@ -94,19 +176,14 @@ def parse_page(source: str) -> Page:
 
     def close(names, scope=_SCOPE) -> None:
         nonlocal links
-        for place in range(len(stack) - 1, 0, -1):
-            if stack[place][0] in names:
-                links -= sum(tag == "a" for tag, _ in stack[place:])
-                if any(tag not in _INLINE for tag, _ in stack[place:]):
-                    runs.append((-1, ""))
-                del stack[place:]
-                return
-            if stack[place][0] in scope:
-                return
-
-    at, size = 0, len(source)
+        gone = stack.pop_to(names, scope)
+        links -= sum(tag == "a" for tag, _ in gone)
+        if any(tag not in _INLINE for tag, _ in gone):
+            runs.append((-1, ""))
+
+    at, size, tokens = 0, len(source), _Tokens(source)
     while at < size:
-        found = _TOKEN.search(source, at)
+        found = tokens.next(at)
         if not found:
             add_text(source[at:])
             break
@@ -124,7 +201,7 @@ def parse_page(source: str) -> Page:
             for _ in _CLOSES[tag]:
                 close(_CLOSES[tag], frozenset(("ul", "ol", "dl", "table")))
         if tag in _INLINE:
-            stack.append((tag, stack[-1][1]))
+            stack.push(tag, stack.open[-1][1])
             links += tag == "a"
             continue
         runs.append((-1, ""))
@@ -133,8 +210,8 @@ def parse_page(source: str) -> Page:
         given = _attributes(found[3])
         words = re.split(r"[\s_\-]+", f"{given.get('class', '')} {given.get('id', '')} {given.get('role', '')}".lower())
         label = int(given["y"]) if given.get("y") in ("0", "1") else None
-        elements.append(Element(tag, stack[-1][1], tuple(dict.fromkeys(w for w in words if w)), label))
-        stack.append((tag, len(elements) - 1))
+        elements.append(Element(tag, stack.open[-1][1], tuple(dict.fromkeys(w for w in words if w)), label))
+        stack.push(tag, len(elements) - 1)
         if tag in _RAW:
             end = re.compile(rf"</{tag}\b", re.IGNORECASE).search(source, at)
             at = end.start() if end else size

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import html
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -103,6 +104,17 @@ def test_broken_markup_is_read_to_its_end(model, parts):
     assert isinstance(main_text("".join(parts), model), str)
 
 
+@pytest.mark.parametrize("bit", ["<a ", "<b>x</i>", "<a '\"", "<b><hr>", "<a b='c\" ", "<", "&am", "<div>", "<!", "<a x ", "</p"])
+def test_time_to_parse_grows_with_the_page(bit):
+    def seconds(size):
+        start = time.process_time()
+        parse_page("<p><td>" + bit * (size // len(bit)))
+        return time.process_time() - start
+
+    seconds(50_000)
+    assert seconds(1_600_000) < 5
+
+
 def test_pages_of_any_rows(spark):
     deep = "<div>" * 3000 + "<article><p>deep words. here.</p>" + "<p>para words. here.</p>" * 3000
     rows = [(1, None, None), (1, None, None), (None, "u", "<article><p>one two.</p></article>"), (2, "u", deep)]
