@@ -9,7 +9,6 @@ packing is the same as for piece after piece, yet its plan is a short list of
 length by Spark and look up their bin there.
 """
 
-import json
 import zlib
 from collections import deque
 
@@ -18,33 +17,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.frames import parts, sized_broadcast, stored
+from gaugeflow.llm.frames import parts, sized_broadcast, slices, stored
+from gaugeflow.llm.tokens import ByteBpe
 
 _ROWS_PER_SLICE = 20_000
 _ROW_BYTES = 64
 _PIECES = "doc_id long, mark long, piece int, start long, length long, ids_crc32 long"
 _PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-#: Fixed values of byte-level BPE: how the file's letters stand for bytes, how it splits text.
-_PLAIN_BYTES = (*range(33, 127), *range(161, 173), *range(174, 256))
-_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-
-
-def byte_bpe(path: str):
-    """Encoder with the ids of the byte-level BPE ``tokenizers`` file at ``path``.
-
-    Runs the file's vocabulary in tiktoken, which gives the same ids as the
-    tokenizers library in a sixth of its time. Special tokens of the file that
-    stand in a text get their own ids, as tokenizers does by default.
-    """
-    import tiktoken
-
-    with open(path, encoding="utf-8") as file:
-        model = json.load(file)
-    others = (b for b in range(256) if b not in _PLAIN_BYTES)
-    letters = {chr(b): b for b in _PLAIN_BYTES} | {chr(256 + i): b for i, b in enumerate(others)}
-    special = {t["content"]: t["id"] for t in model.get("added_tokens", ())}
-    ranks = {bytes(letters[c] for c in t): i for t, i in model["model"]["vocab"].items() if t not in special}
-    return tiktoken.Encoding("file", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens=special)
 
 
 def _tokenizer_path() -> str:
@@ -126,12 +105,12 @@ def best_fit_plan(counts: dict[int, int], capacity: int) -> dict[str, np.ndarray
 
 def _tokenized(path: str | None, most: int, end_id: int):
     def run(batches):
-        encoder = byte_bpe(path or _tokenizer_path())
+        encoder = ByteBpe(path or _tokenizer_path())
         names = [c.split()[0] for c in _PIECES.split(", ")]
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc_id, mark, text in zip(*(batch.column(n).to_pylist() for n in ("doc_id", "mark", "text"))):
-                ids = encoder.encode(text or "", allowed_special="all")
+                ids = encoder.encode(text or "", special=True)
                 ids = np.array([*ids, end_id], dtype="<u4")
                 cuts = [0, *range(len(ids) % most or most, len(ids) + 1, most)]
                 for piece, (start, end) in enumerate(zip(cuts, cuts[1:])):

@@ -303,7 +303,7 @@ def test_packing_of_a_table(spark, monkeypatch):
 
     coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").limit(300).collect()}
-    odd = ["a" * 30_000, "é中\U0001f600 \x00\t x", "<|endoftext|> <|endoftext|>", "don't  stop\n\n  ", "�" * 9, "..." * 999]
+    odd = ["a" * 30_000, "é中\U0001f600 \x00\t x", "<|endoftext|> <|endoftext|>", "don't  stop\n\n  ", "�" * 9, "..." * 999, " " * 1_200_000, "x\n" + "\n " * 600_000 + "y"]
     texts |= {100_000 + i: t for i, t in enumerate([*odd, LONG, "", None])}
     ids = {i: [*coder.encode(t or "", add_special_tokens=False).ids, 0] for i, t in texts.items()}
     rows = [(i, t, "en", "s", 1) for i, t in texts.items()]
