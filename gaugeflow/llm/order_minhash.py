@@ -396,8 +396,10 @@ def near_duplicates(docs: DataFrame, least: float = 0.8) -> DataFrame:
 def one_of_each_class(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """The row with the smallest doc_id of every class of ``near_duplicates``.
 
-    A null id counts as the largest; of equal ids one row stays. Rows without a
-    word all stay, but for those with equal id and text.
+    A null id counts as the largest. Of rows with equal id and text one stays, the
+    one whose other columns hash least, so that a repeated task keeps the same row.
+    Rows without a word all stay, but for those with equal id and text. Columns may
+    have any names.
     """
     classes = _classes(docs, least)
     worded, alone = (classes.where(f"component IS {x} NULL") for x in ("NOT", ""))
@@ -405,11 +407,13 @@ def one_of_each_class(docs: DataFrame, least: float = 0.8) -> DataFrame:
     kept = worded.groupBy("component").agg(first).select("first.doc_id", "first.copy")
     kept = kept.union(alone.select("doc_id", "copy").distinct())
 
-    def key(copy):
-        return F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.hex(copy), F.lit("-")))
+    def key(doc_id, copy):
+        return F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("-")), F.coalesce(F.hex(copy), F.lit("-")))
 
-    kept = kept.select(key(F.col("copy")).alias("__kept"))
+    kept = kept.select(key(F.col("doc_id"), F.col("copy")).alias("kept"))
     copy = F.unhex(F.md5(F.col("text").cast("string").cast("binary")))
-    joined = docs.withColumn("__key", key(copy)).join(kept, F.col("__key") == F.col("__kept"))
-    order = Window.partitionBy("__key").orderBy(F.lit(1))
-    return joined.withColumn("__row", F.row_number().over(order)).where("__row = 1").select(*docs.columns)
+    others = F.struct(F.lit(0), *[c for c in docs.columns if c != "text"])  # texts are equal
+    rows = docs.select(key(F.col("doc_id"), copy).alias("key"), F.xxhash64(F.to_json(others)).alias("mark"), F.struct("*").alias("doc"))
+    joined = rows.join(kept, F.col("key") == F.col("kept"))
+    order = Window.partitionBy("key").orderBy("mark")
+    return joined.withColumn("row", F.row_number().over(order)).where("row = 1").select("doc.*")

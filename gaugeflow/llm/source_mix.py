@@ -170,12 +170,12 @@ def mix_sources(
 def mixed_documents(docs: DataFrame, quality: DataFrame | None = None, **options) -> DataFrame:
     """``docs`` itself after the mix: each row as often as it is taken, others gone.
 
-    Rows without a word are never taken.
+    Rows without a word are never taken. Columns may have any names.
     """
     seed = options.get("seed", 5)
     copies = mix_sources(docs, quality, **options).where("taken > 0")
     times = F.try_divide("taken", "size").cast("int")
-    copies = copies.select(F.col("mark").alias("__of"), times.alias("__times")).distinct()
-    joined = docs.withColumn("__mark", _mark(seed)).join(copies, F.col("__mark") == F.col("__of"))
-    repeated = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__times")))
-    return repeated.select(*docs.columns)
+    copies = copies.select(F.col("mark").alias("of"), times.alias("times")).distinct()
+    rows = docs.select(_mark(seed).alias("mark"), F.struct("*").alias("doc"))
+    joined = rows.join(copies, F.col("mark") == F.col("of"))
+    return joined.select("doc", F.explode(F.sequence(F.lit(1), "times")).alias("copy")).select("doc.*")

@@ -405,7 +405,6 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     added = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
     own = [c for c in docs.columns if c not in added]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.select(*own, F.unhex(F.md5(text.cast("binary"))).alias("__copy"))
-    cleaned = cleaned.withColumnsRenamed({c: f"__{c}" for c in ["copy", *added]} | {"copy": "__of"})
-    joined = keyed.join(cleaned, F.col("__copy") == F.col("__of"))
-    return joined.select(*own, *(F.col(f"__{c}").alias(c) for c in added))
+    rows = docs.select(F.unhex(F.md5(text.cast("binary"))).alias("key"), F.struct(*own).alias("doc"))
+    joined = rows.join(cleaned.withColumnRenamed("copy", "of"), F.col("key") == F.col("of"))
+    return joined.select("doc.*", *added)
