@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import best_fit, order_minhash, source_mix, suffix_dedup, zstd_language
-from gaugeflow.llm.frames import stored
+from gaugeflow.llm.frames import small_batches, stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,21 +16,24 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = zstd_language.learn_languages(docs)
     rows = docs.select(F.struct("*").alias("__doc"), "text")
     predicted = zstd_language.predict_languages(rows, model, keep=("__doc",))
-    return predicted.where("NOT rejected").select("__doc.*")
+    with small_batches(spark):
+        return stored(predicted.where("NOT rejected").select("__doc.*"), "known_language")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies."""
-    return order_minhash.one_of_each_class(docs)
+    with small_batches(spark):
+        return order_minhash.one_of_each_class(docs)
 
 
 def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their texts without strings that stand elsewhere too."""
-    rows = docs.select(F.struct("*").alias("__doc"), "text")
-    cleaned = suffix_dedup.remove_repeats(rows)
-    left = F.col("__doc").withField("text", F.col("kept_text"))
-    left = left.withField("n_chars", F.length("kept_text").cast("long"))
-    return cleaned.select(left.alias("__doc")).select("__doc.*")
+    others = F.struct(*[c for c in docs.columns if c != "text"]).alias("__doc")
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    with small_batches(spark):
+        cleaned = suffix_dedup.remove_repeats(docs.select(others, "text"))
+        left = cleaned.select(*[new.get(c, F.col("__doc")[c]).alias(c) for c in docs.columns])
+        return stored(left, "without_repeats")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +44,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their sequence and place in it."""
-    return best_fit.pack_documents(docs)
+    with small_batches(spark):
+        return best_fit.pack_documents(docs)
 
 
 STAGES = [
