@@ -90,7 +90,7 @@ def _ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _stats(spark: SparkSession, args: argparse.Namespace) -> None:
     table = _table(spark, args)
-    write_daily_stats(table, echo=not args.quiet)
+    write_daily_stats(table, echo=not args.quiet, changed=args.changed)
 
 
 def _scan(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -168,6 +168,7 @@ def _parser() -> argparse.ArgumentParser:
 
     added = command("stats", _stats, "write daily statistics into the table")
     table_options(added)
+    added.add_argument("--changed", action="store_true", help="only of days that changed since the last run")
     added.add_argument("--quiet", action="store_true", help="print no previews")
 
     added = command("scan", _scan, "print the first rows of the table in key order")

@@ -10,6 +10,11 @@ The day is a function of the row key and of its day key, so neither the newest
 version nor daily statistics cross days. A day that only one compacted base
 holds is settled: its rows are current and are read without a shuffle. Which
 days those are comes from the names of the folders, whatever their size.
+
+Beside the families the table keeps small tables of its own: the key range of each
+compacted file, so that a limited scan reads few of them; which batches the last
+statistics have seen, and which days of a base hold batches they have not; and
+claims, empty files created only if absent, for numbers that must not be taken twice.
 """
 
 import re
@@ -47,10 +52,20 @@ STATS_RUN = "stats"
 # arrival it holds the run's place among all runs, the batch and the offset.
 _VERSION = DecimalType(38, 0)
 _RUNS = "_runs"
+_CLAIMS = "_claims"
+_RANGES = "_ranges"
+_SEEN = "_seen"
+_UNSEEN = "_unseen"
 _NOBODY = "-"
 _OFFSETS = 10**19
 _BATCHES = 10**9
 
+# A limited scan looks at this many key ranges and file names on the driver; beyond
+# that, files are told apart by the statistics in them instead.
+_RANGE_ROWS = 10_000
+_RANGE = "day string, file string, least string, largest string, rows long"
+_BATCH = "run string, batch long, finished long"
+
 
 @dataclass(frozen=True)
 class WideTable:
@@ -92,30 +107,52 @@ class WideTable:
 
     def truncate(self) -> None:
         """Empty every family and forget the runs."""
-        for name in (*FAMILIES, _RUNS):
+        for name in (*FAMILIES, _RUNS, _CLAIMS, _RANGES, _SEEN, _UNSEEN):
             storage.delete(self.spark, self.folder(name))
         self.create()
 
+    def _claim(self, kind: str, first: int = 0) -> int:
+        return storage.claim(self.spark, f"{self.root}/{_CLAIMS}/{kind}", first)
+
+    def _known_runs(self) -> list[tuple[int, str, str]]:
+        """(place, run, owner) of the table's runs in their order."""
+        names = [n.split(".") for n in storage.folders(self.spark, self.folder(_RUNS))]
+        return sorted((int(place), run, owner) for place, run, owner in names)
+
     def _place_of_run(self, run: str, owner: str | None) -> int:
         """The run's place among the table's runs, given when it is first seen.
 
         ``owner`` is bound to the run then; another owner would overwrite the
-        batches of the first, so it is refused.
+        batches of the first, so it is refused. A place is claimed before it is
+        used. If two owners bring the same new run at once, the lower place has it.
         """
-        known = [n.split(".") for n in storage.folders(self.spark, self.folder(_RUNS))]
-        for place, name, first in known:
-            if name == run:
-                if first != (owner or _NOBODY):
-                    raise ValueError(f"run {run!r} belongs to another checkpoint")
-                return int(place)
-        place = 1 + max((int(place) for place, *_ in known), default=-1)
-        storage.make(self.spark, f"{self.folder(_RUNS)}/{place:010d}.{run}.{owner or _NOBODY}")
-        return place
+        owner, mine = owner or _NOBODY, None
+        known = self._known_runs()
+        if all(name != run for _, name, _ in known):
+            place = self._claim("run", 1 + max((place for place, *_ in known), default=-1))
+            mine = f"{self.folder(_RUNS)}/{place:010d}.{run}.{owner}"
+            storage.make(self.spark, mine)
+            known = sorted({*self._known_runs(), (place, run, owner)})
+        first, _, holder = next(entry for entry in known if entry[1] == run)
+        if mine and first != place:
+            storage.delete(self.spark, mine)
+        if holder != owner:
+            raise ValueError(f"run {run!r} belongs to another checkpoint")
+        return first
 
     # Writing
 
-    def _put(self, rows: DataFrame, family: str, run: str, batch: int) -> str:
+    def _put(
+        self, rows: DataFrame, family: str, run: str, batch: int, placed: bool = False
+    ) -> str:
+        """Write one batch by day.
+
+        Rows that are not ``placed`` already are brought together by day, a busy day
+        in several tasks and small ones in one, so that a batch writes a few files a
+        day and not one for each day in each task.
+        """
         rows = rows.select("rowkey", *FAMILIES[family], "version", day_folder().alias("day"))
+        rows = rows if placed else rows.hint("rebalance", "day")
         return storage.write_batch(rows, self.folder(family), run, batch, "day")
 
     def put_readings(
@@ -140,9 +177,7 @@ class WideTable:
         rows = sensor.withColumn("rowkey", row_key()).withColumn("version", version)
         written = self._put(rows, "data", run, batch)
         stored = self._stored(sensor.sparkSession, "data", written)
-        # A small part of the batch: adaptive execution picks the file count.
-        alerts = low_pressure(stored).select("rowkey", "psi", "version")
-        self._put(alerts.hint("rebalance"), "alert", run, batch)
+        self._put(low_pressure(stored).select("rowkey", "psi", "version"), "alert", run, batch)
 
     def put_stats(self, stats: DataFrame, version: int | None = None) -> int:
         """Upsert statistics by day key as a new version and return its number.
@@ -150,12 +185,74 @@ class WideTable:
         Days that the statistics do not mention keep their older rows.
         """
         if version is None:
-            (last,) = self.versions("stats").agg(F.max("version")).first()
-            version = 0 if last is None else int(last) + 1
+            version = self._claim("stats", self._next_stats_version())
         rows = stats_cells(stats).withColumn("version", F.lit(version).cast(_VERSION))
         self._put(rows, "stats", STATS_RUN, version)
         return version
 
+    def _next_stats_version(self) -> int:
+        """One past the last claim; of a table without claims, past the last row."""
+        if claims := storage.claimed(self.spark, f"{self.root}/{_CLAIMS}/stats"):
+            return claims[-1] + 1
+        (last,) = self.versions("stats").agg(F.max("version")).first()
+        return 0 if last is None else int(last) + 1
+
+    # What the statistics have seen
+
+    def finished_batches(self) -> dict[tuple[str, int], int]:
+        """When each batch of ``data`` was finished; a retried batch finishes again."""
+        marks = storage.finished(self.spark, self.folder("data"), "run", "batch")
+        return {(run, int(batch)): when for (run, batch), when in marks.items()}
+
+    def seen_batches(self) -> tuple[int, dict[tuple[str, int], int]] | None:
+        """Version of the last statistics and the batches they saw."""
+        marks = storage.finished(self.spark, self.folder(_SEEN), "version")
+        if not marks:
+            return None
+        version = max(int(v) for (v,) in marks)
+        rows = self.spark.read.schema(_BATCH).parquet(f"{self.folder(_SEEN)}/version={version}")
+        return version, {(r["run"], r["batch"]): r["finished"] for r in rows.collect()}
+
+    def note_seen(self, version: int, batches: dict[tuple[str, int], int]) -> None:
+        """Say that statistics ``version`` hold what was in ``batches``."""
+        rows = [(run, batch, when) for (run, batch), when in sorted(batches.items())]
+        frame = self.spark.createDataFrame(rows, _BATCH).coalesce(1)
+        frame.write.mode("overwrite").parquet(f"{self.folder(_SEEN)}/version={version}")
+
+    def _unseen_days(
+        self,
+        batches: dict[tuple[str, int], set[str]],
+        finished: dict[tuple[str, int], int],
+        seen: dict[tuple[str, int], int],
+    ) -> set[str]:
+        """Days of ``batches`` with rows that are not in ``seen``.
+
+        A base's rows came from batches; which of its days hold unseen ones was noted
+        when it was made.
+        """
+        days = set()
+        noted = storage.finished(self.spark, self.folder(_UNSEEN), "base")
+        for (run, batch), held in batches.items():
+            when = finished.get((run, batch))
+            if when is not None and seen.get((run, batch)) == when:
+                continue
+            if run == _BASE_RUN and (str(batch),) in noted:
+                note = self.spark.read.schema("day string").parquet(f"{self.folder(_UNSEEN)}/base={batch}")
+                held = held & {r["day"] for r in note.collect()}
+            days |= held
+        return days
+
+    def changed_days(self, finished: dict[tuple[str, int], int]) -> set[str] | None:
+        """Day folders of ``data`` that the last statistics do not hold; None for all.
+
+        ``finished`` is a listing made before; batches that are newer than it or not
+        finished count as changed now and again later.
+        """
+        last = self.seen_batches()
+        if last is None:
+            return None
+        return self._unseen_days(self._batches("data"), finished, last[1])
+
     # Reading
 
     def _stored(self, spark: SparkSession, family: str, *folders: str) -> DataFrame:
@@ -185,10 +282,17 @@ class WideTable:
             found.setdefault((run, int(batch)), set()).add(day)
         return found
 
-    def family(self, family: str) -> DataFrame:
+    def folders(self, family: str, days: set[str] | None = None) -> list[str]:
+        """The family's folder, or those that hold the given days."""
+        if days is None:
+            return [self.folder(family)]
+        held = self._batches(family).items()
+        return [self._folder_of(family, *name, day) for name, here in held for day in sorted(here & days)]
+
+    def family(self, family: str, days: set[str] | None = None) -> DataFrame:
         """The family's current rows: the newest version per row key.
 
-        Only contested days are compared, those held by a batch that is not
+        ``days`` names day folders; others are not read then. Only contested days are compared, those held by a batch that is not
         compacted or by two bases (a compaction was lost halfway). Settled
         days have one row per key already and are read without a shuffle.
         """
@@ -196,6 +300,11 @@ class WideTable:
         # makes its days contested, and its rows come with the next read.
         versions, cells = self.versions(family), FAMILIES[family]
         settled, contested = _settled_and_contested(self._batches(family))
+        if days is not None:
+            settled, contested = settled & days, contested & days
+            if not (here := self.folders(family, days)):
+                return versions.select("rowkey", *cells).limit(0)
+            versions = self._stored(self.spark, family, *here)
         if not settled:
             return newest(versions, cells, "version")
         if not contested:
@@ -209,9 +318,65 @@ class WideTable:
         return self.family("data").agg(F.count(F.lit(1)).alias("rows"))
 
     def scan_family(self, family: str, limit: int | None = None) -> DataFrame:
-        """A family's current rows in row-key order, all or the first ``limit``."""
-        rows = self.family(family).orderBy("rowkey")
-        return rows if limit is None else rows.limit(limit)
+        """A family's current rows in row-key order, all or the first ``limit``.
+
+        A limited scan reads the compacted files that can hold such rows and, of the
+        days that batches came to since, the rows up to the last key it can need.
+        """
+        if limit is None:
+            return self.family(family).orderBy("rowkey")
+        return self._first_rows(family, limit).orderBy("rowkey").limit(limit)
+
+    def _ranges(self, family: str, settled: dict[str, int]) -> tuple[DataFrame | None, set[str]]:
+        """Key ranges of the files of settled days (day to base), and days without any."""
+        root = f"{self.folder(_RANGES)}/{family}"
+        made = {int(base) for (base,) in storage.finished(self.spark, root, "base")}
+        known = [(day, base) for day, base in sorted(settled.items()) if base in made]
+        if not known:
+            return None, set(settled)
+        folders = [f"{root}/base={base}" for base in sorted({base for _, base in known})]
+        ranges = self.spark.read.schema(_RANGE + ", base long").option("basePath", root).parquet(*folders)
+        days = self.spark.createDataFrame(known, "day string, base long")
+        return ranges.join(days, ["day", "base"], "left_semi"), set(settled) - {day for day, _ in known}
+
+    def _first_rows(self, family: str, limit: int) -> DataFrame:
+        """Current rows among which the first ``limit`` are."""
+        batches, cells = self._batches(family), FAMILIES[family]
+        settled, contested = _settled_and_contested(batches)
+        bases = {day: b for (run, b), days in batches.items() if run == _BASE_RUN for day in days & settled}
+        ranges, others = self._ranges(family, bases)
+        if ranges is None or not 0 < limit <= _RANGE_ROWS:
+            return self.family(family)
+        # Two keys up to which there are ``limit`` rows: the largest of the first files
+        # that hold as many, and the first key of as many files, each of which has it.
+        # The days' files overlap, since a day holds all sensors; the second is the
+        # tighter one then.
+        rows, bounds = 0, []
+        for file in ranges.orderBy("largest", "base", "file").limit(limit).collect():
+            rows += file["rows"]
+            if rows >= limit:
+                bounds.append(file["largest"])
+                break
+        starts = ranges.select("least").orderBy("least").limit(limit).collect()
+        bounds += [starts[-1]["least"]] if len(starts) == limit else []
+        last = min(bounds, default=None)
+        up_to = F.lit(True) if last is None else F.col("rowkey") <= last
+        near = ranges if last is None else ranges.where(F.col("least") <= last)
+        files = near.select("base", "day", "file").limit(_RANGE_ROWS + 1).collect()
+        if len(files) > _RANGE_ROWS:
+            return self.family(family).where(up_to)
+        folder = self._folder_of
+        paths = [f"{folder(family, _BASE_RUN, base, day)}/{file}" for base, day, file in sorted(files)]
+        paths += [folder(family, _BASE_RUN, bases[day], day) for day in sorted(others)]
+        parts = [self._stored(self.spark, family, *paths).where(up_to).select("rowkey", *cells)] if paths else []
+        disputed = [folder(family, *name, day) for name, days in batches.items() for day in sorted(days & contested)]
+        if disputed:
+            versions = self._stored(self.spark, family, *disputed).where(up_to)
+            parts.append(newest(versions, cells, "version"))
+        found = parts[0]
+        for part in parts[1:]:
+            found = found.unionByName(part)
+        return found
 
     def scan_wide(self, limit: int | None = None) -> DataFrame:
         """Whole rows in row-key order, cells prefixed with their family.
@@ -238,7 +403,9 @@ class WideTable:
 
         Only days that the merged folders hold are read and written again; the
         other days' files stay as they are. A base holds the newest versions
-        sorted by row key, so that scans and key ranges skip files. It is
+        sorted by row key, and the key range of each of its files is noted for
+        limited scans. Its number is claimed, so that two compactions at once write
+        two bases, whose days are then compared again. It is
         written before what it replaces is deleted; a job lost in between
         leaves equal versions twice, which reading merges. Each run's newest
         batch stays, because a stream may be working on it, unless the table
@@ -276,7 +443,13 @@ class WideTable:
                 )
                 order = (day_folder(), F.col("rowkey"))
                 base = last.repartitionByRange(*order).sortWithinPartitions(*order)
-                self._put(base, family, _BASE_RUN, max(bases, default=-1) + 1)
+                number = self._claim(f"base-{family}", max(bases, default=-1) + 1)
+                if family == "data":
+                    self._note_unseen(number, {n: d for n, d in batches.items() if n in tail}, {
+                        (_BASE_RUN, batch): days for batch, days in replaced.items()
+                    })
+                self._put(base, family, _BASE_RUN, number, placed=True)
+            self._note_ranges(family, number)
         emptied = [
             self._folder_of(family, _BASE_RUN, batch)
             for batch, days in bases.items()
@@ -286,6 +459,28 @@ class WideTable:
             storage.delete(self.spark, folder)
         return len(merged) + len(replaced)
 
+    def _note_unseen(self, base: int, *merged: dict[tuple[str, int], set[str]]) -> None:
+        """Note which days of a new base hold batches that no statistics have seen.
+
+        Written before the base; without statistics there is nothing to note, since
+        the first ones read all days.
+        """
+        last = self.seen_batches()
+        if last is None:
+            return
+        finished = self.finished_batches()
+        days = set().union(*(self._unseen_days(batches, finished, last[1]) for batches in merged))
+        frame = self.spark.createDataFrame([(day,) for day in sorted(days)], "day string").coalesce(1)
+        frame.write.mode("overwrite").parquet(f"{self.folder(_UNSEEN)}/base={base}")
+
+    def _note_ranges(self, family: str, base: int) -> None:
+        """Write the first and last key and the number of rows of a base's files."""
+        rows = self._stored(self.spark, family, self._folder_of(family, _BASE_RUN, base))
+        ranges = rows.groupBy("day", F.col("_metadata.file_name").alias("file")).agg(
+            F.min("rowkey").alias("least"), F.max("rowkey").alias("largest"), F.count("*").alias("rows")
+        )
+        ranges.write.mode("overwrite").parquet(f"{self.folder(_RANGES)}/{family}/base={base}")
+
     def _folder_of(self, family: str, run: str, batch: int, day: str | None = None) -> str:
         folder = storage.batch_folder(self.folder(family), run, batch)
         return folder if day is None else f"{folder}/day={day}"

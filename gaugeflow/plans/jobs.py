@@ -24,18 +24,26 @@ def publish_files(spark: SparkSession, path: str, root: str, topic: str) -> int:
         return publish(lines, root, topic)
 
 
-def write_daily_stats(table: WideTable, echo: bool = False) -> int:
+def write_daily_stats(table: WideTable, echo: bool = False, changed: bool = False) -> int:
     """Statistics of every sensor-day in ``data``, written to ``stats``.
 
     Rows of the stats family are never read: the two families are separate
-    folders. ``echo`` prints previews afterwards, of the statistics as written;
+    folders. ``changed`` reads only the days that batches came to since the last
+    statistics; other days keep their rows, and if there is none the last version
+    stands. ``echo`` prints previews afterwards, of the statistics as written;
     the rows are counted in the one pass over the data.
     """
+    finished = table.finished_batches()
+    days = table.changed_days(finished) if changed else None
+    if days is not None and not days:
+        version, _ = table.seen_batches()
+        return version
     seen = Observation()
-    with sized_shuffle(table.spark, table.folder("data")):
-        data = table.family("data").observe(seen, F.count(F.lit(1)).alias("rows"))
+    with sized_shuffle(table.spark, *table.folders("data", days)):
+        data = table.family("data", days).observe(seen, F.count(F.lit(1)).alias("rows"))
         rows = sensor_rows(data)
         version = table.put_stats(daily_stats(rows))
+    table.note_seen(version, finished)
     if echo:
         print(f"rows {seen.get['rows']}")
         rows.printSchema()

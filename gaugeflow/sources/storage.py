@@ -2,6 +2,7 @@
 
 import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -25,12 +26,53 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     )
 
 
-def partitions(spark: SparkSession, path: str, *names: str) -> list[tuple[str, ...]]:
-    """Values of the ``name=value`` folders nested below ``path``, one listing for all."""
+def claim(spark: SparkSession, folder: str, first: int = 0) -> int:
+    """A number from ``first`` on that no other call gets for this folder.
+
+    Its file is created only if it is absent, so that of two callers with the same,
+    perhaps outdated, listing one goes on to the next number.
+    """
+    fs, hadoop_path = _open(spark, folder)
+    number = max([first - 1, *claimed(spark, folder)]) + 1
+    while True:
+        path = spark._jvm.org.apache.hadoop.fs.Path(hadoop_path, f"{number:010d}")
+        try:
+            fs.create(path, False).close()
+            return number
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+                raise
+            number += 1
+
+
+def claimed(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers claimed so far in ``folder``."""
+    fs, hadoop_path = _open(spark, folder)
+    if not fs.exists(hadoop_path):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+    return sorted(int(name) for name in names if name.isdigit())
+
+
+def finished(spark: SparkSession, path: str, *names: str) -> dict[tuple[str, ...], int]:
+    """When each ``name=value`` folder nested below ``path`` was written to its end."""
+    marks = _matching(spark, path, *[f"{name}=*" for name in names], "_SUCCESS")
+    found = {}
+    for status in marks:
+        parts = str(status.getPath()).split("/")[-len(names) - 1 : -1]
+        found[tuple(part.split("=", 1)[1] for part in parts)] = status.getModificationTime()
+    return found
+
+
+def _matching(spark: SparkSession, path: str, *patterns: str) -> list:
     fs, _ = _open(spark, path)
     plain = re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-    pattern = "/".join([plain, *[f"{name}=*" for name in names]])
-    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(pattern)) or []
+    return fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path("/".join([plain, *patterns]))) or []
+
+
+def partitions(spark: SparkSession, path: str, *names: str) -> list[tuple[str, ...]]:
+    """Values of the ``name=value`` folders nested below ``path``, one listing for all."""
+    found = _matching(spark, path, *[f"{name}=*" for name in names])
     paths = [str(status.getPath()).split("/")[-len(names):] for status in found]
     return [tuple(part.split("=", 1)[1] for part in parts) for parts in paths]
 
