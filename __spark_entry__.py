@@ -43,6 +43,7 @@ from gaugeflow.plans.jobs import latest_readings, publish_files, write_daily_sta
 from gaugeflow.schemas import ID_FIELDS, MEASURES, STATISTICS, STATS_RENAMES, TOPIC
 from gaugeflow.session import shared_folder
 from gaugeflow.sources import storage
+from gaugeflow.sources.lines import stream_lines
 from gaugeflow.sources.topic import keyed_records, publish, read_topic
 from gaugeflow.streaming import (
     RECEIVED,
@@ -54,6 +55,7 @@ from gaugeflow.streaming import (
     sql_report,
     stream_reports,
     stream_to_table,
+    stream_to_topic,
 )
 
 try:  # a subpackage that may be left out
@@ -273,6 +275,27 @@ def _ranked(records):
     return records.select("key", "value", rank.alias("rank"))
 
 
+def q_publish_stream(spark, sf_dir):
+    """Line files that arrive in four deliveries, published as they come.
+
+    The second delivery is tried twice: the first try is lost after its records were
+    written and before its batch was committed.
+    """
+    prepared = _prepared(spark, sf_dir)
+    files, root, checkpoint = (prepared.scratch(n) for n in ("lines", "topics", "checkpoint"))
+    lines, (events,) = _lines(spark, sf_dir), _lines(spark, sf_dir).agg(F.count(F.lit(1))).first()
+    for delivery in range(SEGMENTS):
+        first, end = (-(-events * k // SEGMENTS) for k in (delivery, delivery + 1))
+        part = lines.where(F.col("offset").between(first, end - 1))
+        # Files of a delivery are in key order by name: equal ranges of its events.
+        ordered = part.repartitionByRange(2, "offset").sortWithinPartitions("offset")
+        ordered.select("value").write.text(f"{files}/delivery={delivery}")
+        stream_to_topic(stream_lines(spark, f"{files}/*"), root, TOPIC, checkpoint).awaitTermination()
+        if delivery == 1:
+            storage.delete(spark, f"{checkpoint}/commits/1")
+    return _ranked(read_topic(spark, root))
+
+
 def q_several_topics(spark, sf_dir):
     """Two topics in one subscription, streamed into one table."""
     prepared = _prepared(spark, sf_dir)
@@ -314,6 +337,27 @@ def q_drain_total(spark, sf_dir):
     return drain_total(spark, root, "first")
 
 
+def q_drain_polls(spark, sf_dir):
+    """Drains of at most two and at most nine polls; the first goes on afterwards.
+
+    The topic's empty last segment is no batch that counts.
+    """
+    prepared = _prepared(spark, sf_dir)
+    root = prepared.scratch("drain")
+    checkpoints = {polls: prepared.scratch("checkpoint") for polls in (2, 9)}
+    for polls, checkpoint in checkpoints.items():
+        drain(prepared.stream(), root, f"polls{polls}", checkpoint, polls=polls)
+    counts = {f"at most {polls}": drain_counts(spark, root, f"polls{polls}") for polls in checkpoints}
+    before = counts["at most 2"].agg(F.sum("messages").alias("messages")).first()["messages"]
+    drain(prepared.stream(), root, "polls2", checkpoints[2])
+    after = drain_total(spark, root, "polls2").select(F.col("messages") - before)
+    rest = after.toDF("messages").select(F.lit(-1).cast("long").alias("batch"), "messages")
+    first = drain_counts(spark, root, "polls2").where("batch < 2")
+    parts = {"at most 2": first, "at most 9": counts["at most 9"], "the rest": rest}
+    named = [part.select(F.lit(name).alias("drain"), "batch", "messages") for name, part in parts.items()]
+    return named[0].union(named[1]).union(named[2])
+
+
 # Reports per micro-batch
 
 
@@ -466,6 +510,30 @@ def _middle(spark, sf_dir):
     return -(-events // 2)
 
 
+def _with_tail(spark, sf_dir):
+    """A compacted table, then the topic's last quarter once more as a second run."""
+    prepared = _prepared(spark, sf_dir)
+    table = prepared.ingest(prepared.new_table("table"))
+    for family in ("data", "alert"):
+        table.compact(family, idle=True)
+    root, lines = prepared.scratch("topics"), _lines(spark, sf_dir)
+    (events,) = lines.agg(F.count(F.lit(1))).first()
+    publish(lines.where(F.col("offset") >= -(-events * (SEGMENTS - 1) // SEGMENTS)), root, TOPIC)
+    return prepared.ingest(table, "second", read_topic(spark, root, streaming=True))
+
+
+def q_indexed_scan_50(spark, sf_dir):
+    """First rows over key ranges of compacted files and a tail of batches."""
+    return _with_tail(spark, sf_dir).scan_family("data", 50)
+
+
+def q_indexed_wide_5(spark, sf_dir):
+    table = _with_tail(spark, sf_dir)
+    write_daily_stats(table)
+    table.compact("stats", idle=True)
+    return table.scan_wide(5)
+
+
 def q_rerun_new_checkpoint(spark, sf_dir):
     """A run's name is refused to a second checkpoint; its earlier rows remain."""
     prepared = _prepared(spark, sf_dir)
@@ -552,6 +620,31 @@ def q_write_stats_twice(spark, sf_dir):
     return table.family("stats")
 
 
+def q_incremental_stats(spark, sf_dir):
+    """Statistics kept up by changed days: late, repeated and replayed batches.
+
+    The second half comes first; statistics; then the first half, of which a part is
+    compacted before statistics saw it; statistics; then a replay of all; statistics.
+    """
+    prepared = _prepared(spark, sf_dir)
+    table, lines, middle = prepared.new_table("table"), _lines(spark, sf_dir), _middle(spark, sf_dir)
+
+    def ingest(run, first, end):
+        root = prepared.scratch("topics")
+        publish(lines.where((F.col("offset") >= first) & (F.col("offset") < end)), root, TOPIC)
+        prepared.ingest(table, run, read_topic(spark, root, streaming=True))
+
+    ingest("late", middle, 1 << 62)
+    write_daily_stats(table, changed=True)
+    ingest("early", 0, middle // 2)
+    table.compact("data", idle=True)
+    ingest("rest", middle // 2, middle)
+    write_daily_stats(table, changed=True)
+    prepared.ingest(table, "again")
+    write_daily_stats(table, changed=True)
+    return table.family("stats")
+
+
 # The driver's contract
 
 
@@ -653,8 +746,15 @@ _SELECTS = {
                                   THEN floor(sqrt("offset" % 1000))
                                   ELSE 100 - floor(sqrt(999 - "offset" % 1000))
                              END AS BIGINT) AS part FROM lines)""",
+    "publish_stream": """
+        SELECT resid AS key, value, row_number() OVER (PARTITION BY resid ORDER BY "offset") AS rank
+        FROM lines""",
     "several_topics": "SELECT * FROM data",
     "drain_counts": "SELECT batch, count(*) AS messages FROM readings GROUP BY batch",
+    "drain_polls": """
+        SELECT 'at most ' || polls AS drain, batch, count(*) AS messages
+        FROM readings, (VALUES (2), (9)) AS p(polls) WHERE batch < polls GROUP BY polls, batch
+        UNION ALL SELECT 'the rest', -1, count(*) FROM readings WHERE batch >= 2""",
     "drain_total": "SELECT count(*) AS messages FROM readings",
     "stream_received": """
         SELECT batch, count(*) AS received FROM readings GROUP BY batch""",
@@ -701,6 +801,9 @@ _SELECTS = {
           PARTITION BY rowkey
           ORDER BY "offset" < (SELECT ceil(count(*) / 2) FROM events) DESC,
                    "offset" DESC) = 1""",
+    "indexed_scan_50": "SELECT * FROM data ORDER BY rowkey LIMIT 50",
+    "indexed_wide_5": "SELECT * FROM wide ORDER BY rowkey LIMIT 5",
+    "incremental_stats": "SELECT * FROM stats",
     "rerun_new_checkpoint": "SELECT * FROM data",
     "truncate_table": """
         SELECT 'data' AS family, (SELECT count(*) FROM data) AS rows_before,

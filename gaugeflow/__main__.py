@@ -15,7 +15,7 @@ from gaugeflow.plans.jobs import publish_files, write_daily_stats
 from gaugeflow.schemas import TOPIC
 from gaugeflow.session import get_session, sized_shuffle
 from gaugeflow.sources.kafka import publish_kafka, read_kafka
-from gaugeflow.sources.lines import read_lines
+from gaugeflow.sources.lines import read_lines, stream_lines
 from gaugeflow.sources.topic import read_topic, topic_names
 from gaugeflow.streaming import (
     REPORT,
@@ -25,6 +25,7 @@ from gaugeflow.streaming import (
     sql_report,
     stream_reports,
     stream_to_table,
+    stream_to_topic,
 )
 
 
@@ -47,14 +48,19 @@ def _table(spark: SparkSession, args: argparse.Namespace) -> WideTable:
 
 
 def _publish(spark: SparkSession, args: argparse.Namespace) -> None:
-    if args.brokers:
+    if args.checkpoint:
+        if args.brokers:
+            raise SystemExit("--checkpoint follows files into file topics only")
+        lines = stream_lines(spark, args.lines, FILES_PER_BATCH)
+        stream_to_topic(lines, args.topics, args.topic, args.checkpoint, args.bounded).awaitTermination()
+    elif args.brokers:
         publish_kafka(read_lines(spark, args.lines), args.brokers, args.topic)
     else:
         publish_files(spark, args.lines, args.topics, args.topic)
 
 
 def _drain(spark: SparkSession, args: argparse.Namespace) -> None:
-    drain(_records(spark, args), args.out, args.run, args.checkpoint)
+    drain(_records(spark, args), args.out, args.run, args.checkpoint, args.polls, args.seconds)
     show("messages read", drain_counts(spark, args.out, args.run).orderBy("batch"))
     show("total messages received", drain_total(spark, args.out, args.run))
 
@@ -147,10 +153,14 @@ def _parser() -> argparse.ArgumentParser:
     added = command("publish", _publish, "send the lines of text files to a topic")
     topic_options(added)
     added.add_argument("--lines", required=True, help="file or folder of lines")
+    added.add_argument("--checkpoint", help="go on with files that arrive, from what it has")
+    added.add_argument("--bounded", action="store_true", help="with --checkpoint: stop at the files there now")
 
     added = command("drain", _drain, "read a topic to its end and count messages")
     stream_options(added)
     added.add_argument("--out", required=True)
+    added.add_argument("--polls", type=int, help="batches to take at most")
+    added.add_argument("--seconds", type=float, help="time after which no batch begins")
 
     added = command("report", _report, "report on every micro-batch")
     stream_options(added)

@@ -16,6 +16,9 @@ from gaugeflow.schemas import TOPIC, TOPIC_PARTITIONS, TOPIC_RECORD
 from gaugeflow.sources import storage
 
 _NAME = re.compile(r"[A-Za-z0-9._-]+")
+# Spark's readers pass over folders whose names begin like these.
+_CLAIMS = "_claims"
+_OWNED = "_owned"
 _STORED = StructType(
     TOPIC_RECORD.fields + [StructField("segment", IntegerType())]
 )
@@ -88,17 +91,32 @@ def publish(
     if segment is not None:
         write(segment, _segments(spark, folder), "overwrite")
         return segment
-    taken = -1
     while True:
         known = _segments(spark, folder)
-        number = max([taken, *known]) + 1
+        number = storage.claim(spark, f"{folder}/{_CLAIMS}", max(known, default=-1) + 1)
         try:
             write(number, known, "errorifexists")
             return number
         except AnalysisException as error:
             if error.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
-            taken = number
+
+
+def segment_of(spark: SparkSession, root: str, topic: str, owner: str, batch: int) -> int:
+    """The segment that belongs to a publisher's batch, claimed when first asked for.
+
+    A batch that is published again gets the segment it had, so that naming it
+    replaces what a lost try wrote; no other publisher gets its number.
+    """
+    folder = topic_folder(root, topic)
+    owned = f"{folder}/{_OWNED}"
+    for name in storage.folders(spark, owned):
+        number, *whose = name.split(".")
+        if whose == [owner, str(batch)]:
+            return int(number)
+    number = storage.claim(spark, f"{folder}/{_CLAIMS}", max(_segments(spark, folder), default=-1) + 1)
+    storage.make(spark, f"{owned}/{number:010d}.{owner}.{batch}")
+    return number
 
 
 def _segments(spark: SparkSession, folder: str) -> list[int]:

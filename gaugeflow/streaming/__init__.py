@@ -1,5 +1,6 @@
 from gaugeflow.streaming.drain import drain, drain_counts, drain_total
 from gaugeflow.streaming.ingest import stream_to_table
+from gaugeflow.streaming.publish import stream_to_topic
 from gaugeflow.streaming.reports import (
     RECEIVED,
     REPORT,
@@ -18,4 +19,5 @@ __all__ = [
     "sql_report",
     "stream_reports",
     "stream_to_table",
+    "stream_to_topic",
 ]

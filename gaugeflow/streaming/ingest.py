@@ -1,7 +1,5 @@
 """Keep a wide table up to date from a topic."""
 
-import json
-
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -9,7 +7,7 @@ from gaugeflow.functions.parsing import parse_sensor
 from gaugeflow.operators.alerts import low_pressure
 from gaugeflow.operators.preview import first_rows, show
 from gaugeflow.operators.wide_table import WideTable
-from gaugeflow.streaming.query import start
+from gaugeflow.streaming.query import checkpoint_id, start
 
 
 def stream_to_table(
@@ -33,8 +31,7 @@ def stream_to_table(
 
     def handle(batch: DataFrame, number: int) -> None:
         if not owner:
-            (made,) = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()
-            owner.append(json.loads(made)["id"])
+            owner.append(checkpoint_id(batch.sparkSession, checkpoint))
         sensor = parse_sensor(batch, keep=("offset",))
         table.put_readings(sensor, run, number, owner[0])
         if echo:

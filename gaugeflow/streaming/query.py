@@ -1,8 +1,9 @@
 """Start a micro-batch query."""
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeflow.schemas import BATCH_INTERVAL
@@ -26,3 +27,9 @@ def start(
     if bounded:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=BATCH_INTERVAL).start()
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a started query has written into its checkpoint."""
+    (made,) = spark.read.text(f"{checkpoint}/metadata").first()
+    return json.loads(made)["id"]
