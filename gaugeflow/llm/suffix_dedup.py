@@ -11,8 +11,10 @@ is a record every 70 bytes or so, and equal strings have equal leading tokens.
    are sorted by multikey quicksort, eight bytes at a time. Suffixes that stay
    together for 200 bytes are repeated. This also compares across the
    boundaries of the buckets of step 1.
-3. A token with very many records is not gathered; its suffixes are counted by
-   128-bit fingerprints instead.
+3. A token with more records or bytes than one task should hold is not gathered; its
+   suffixes are counted by 128-bit fingerprints instead. Suffixes that a record
+   repeats in itself, such as those of a run of one sign, are found there and sent
+   on once.
 
 Equal texts are looked at once.
 """
@@ -29,12 +31,13 @@ from gaugeflow.llm.frames import stored
 _GRAM = 64
 _CHUNK = 1 << 20
 _TOKEN_RECORDS = 2048
-_SORT_BYTES = 4 << 20
+_TOKEN_BYTES = 1 << 20
+_SORT_BYTES = 1 << 20
 _RECORD = "token long, print long, copy binary, start long, strings int, again boolean"
 _KEPT = "token long, copy binary, start long, strings int, whole boolean, compare boolean"
 _BYTES = "token long, copy binary, start long, bytes binary"
 _SPAN = "copy binary, start long, stop long"
-_WINDOWS = "copy binary, start long, one long, other long"
+_WINDOWS = "copy binary, start long, stop long, one long, other long, twice boolean"
 _RESULT = "copy binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
 
 _BASE = 0x9E3779B97F4A7C15
@@ -283,22 +286,43 @@ def _sorter(length: int):
     return run
 
 
+def _windows(part: np.ndarray, hashers, length: int) -> tuple[np.ndarray, ...]:
+    """Of the strings of a part: first places, two fingerprints, whether there is more than one.
+
+    Also the spans of the strings that stand in the part before.
+    """
+    one, other = (h.grams(h.sums(part), length).view(np.int64) for h in hashers)
+    order = np.lexsort((np.arange(len(one)), other, one))
+    fresh = np.r_[True, (one[order][1:] != one[order][:-1]) | (other[order][1:] != other[order][:-1])]
+    first = order[fresh]
+    number = np.diff(np.r_[np.flatnonzero(fresh), len(order)])
+    later = np.zeros(len(one), dtype=bool)
+    later[order[~fresh]] = True
+    spans = np.array(_spans(later, length), dtype=np.int64).reshape(-1, 2)
+    return first, one[first], other[first], number > 1, spans
+
+
 def _windower(length: int):
-    """Two fingerprints of every string of a record."""
+    """Two fingerprints of every different string of a record; spans of the others."""
+
+    def batch(copy, start, stop, one, other, twice):
+        columns = [pa.array([copy] * len(start), pa.binary()), pa.array(start, pa.int64()), pa.array(stop, pa.int64())]
+        columns += [pa.array(x, pa.int64()) for x in (one, other)] + [pa.array(twice, pa.bool_())]
+        return pa.RecordBatch.from_arrays(columns, names=["copy", "start", "stop", "one", "other", "twice"])
 
     def run(batches):
         hashers = _Hasher(), _Hasher(_BASE ^ 0x5A5A5A5A5A5A5A5A, 2)
-        for batch in batches:
-            for copy, start, record in zip(*(batch.column(n).to_pylist() for n in ("copy", "start", "bytes"))):
-                data = np.frombuffer(record, dtype=np.uint8)
+        for rows in batches:
+            for copy, start, record in zip(*(rows.column(n) for n in ("copy", "start", "bytes"))):
+                copy, start, data = copy.as_py(), start.as_py(), np.frombuffer(record.as_buffer(), dtype=np.uint8)
                 for base in range(0, len(data) - length + 1, _CHUNK):
                     part = data[base : base + _CHUNK + length - 1]
-                    one, other = (h.grams(h.sums(part), length).view(np.int64) for h in hashers)
-                    where = np.arange(len(one)) + base + start
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([copy] * len(one), pa.binary()), pa.array(where), pa.array(one), pa.array(other)],
-                        names=["copy", "start", "one", "other"],
-                    )
+                    first, one, other, twice, spans = _windows(part, hashers, length)
+                    at = first + base + start
+                    yield batch(copy, at, at + length, one, other, twice)
+                    if len(spans):
+                        nothing = [None] * len(spans)
+                        yield batch(copy, *(spans + base + start).T, nothing, nothing, nothing)
 
     return run
 
@@ -306,9 +330,12 @@ def _windower(length: int):
 def _counted(records: DataFrame, length: int) -> DataFrame:
     """Spans of the strings of ``records`` that are there twice, by fingerprints."""
     windows = stored(records.mapInArrow(_windower(length), _WINDOWS), "windows")
-    often = windows.groupBy("one", "other").count().where("count > 1").select("one", "other")
+    inside = windows.where("one IS NULL").select("copy", "start", "stop")
+    windows = windows.where("one IS NOT NULL")
+    often = windows.groupBy("one", "other").agg(F.count("*").alias("n"), F.max("twice").alias("twice"))
+    often = often.where("n > 1 OR twice").select("one", "other")
     found = windows.join(often, ["one", "other"], "left_semi")
-    return found.select("copy", "start", (F.col("start") + length).alias("stop"))
+    return found.select("copy", "start", "stop").union(inside)
 
 
 def _merged(spans) -> list[tuple[int, int]]:
@@ -368,8 +395,8 @@ def _repeats(rows: DataFrame, texts: DataFrame, length: int) -> DataFrame:
         F.collect_list(F.struct("token", "start", "strings")).alias("records")
     )
     cut = stored(texts.join(lists, "copy").select("copy", "packed", "records").mapInArrow(_cutter(length), _BYTES), "cut")
-    many = cut.groupBy("token").count().where(F.col("count") > _TOKEN_RECORDS).select("token")
-    many = stored(many, "many")
+    held = cut.groupBy("token").agg(F.count("*").alias("n"), F.sum(F.octet_length("bytes")).alias("bytes"))
+    many = stored(held.where((F.col("n") > _TOKEN_RECORDS) | (F.col("bytes") > _TOKEN_BYTES)).select("token"), "many")
     few = cut.join(many, "token", "left_anti").repartition("token").sortWithinPartitions("token")
     spans = whole.union(few.mapInArrow(_sorter(length), _SPAN))
     if not many.isEmpty():

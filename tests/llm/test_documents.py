@@ -166,6 +166,35 @@ def test_removal_is_that_of_brute_force(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_TOKEN_RECORDS", 2)
     monkeypatch.setattr(suffix_dedup, "_CHUNK", 1500)
     assert rows_of(removed(remove_repeats(docs(spark, doc_rows(texts))))) == expected
+    # So do tokens of few but long records.
+    monkeypatch.undo()
+    monkeypatch.setattr(suffix_dedup, "_TOKEN_BYTES", 600)
+    assert rows_of(removed(remove_repeats(docs(spark, doc_rows(texts))))) == expected
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.binary(min_size=12, max_size=80).map(lambda b: bytes(x % 2 for x in b)))
+def test_a_record_sends_each_of_its_strings_once(record):
+    hashers = suffix_dedup._Hasher(), suffix_dedup._Hasher(suffix_dedup._BASE ^ 6, 2)
+    first, one, other, twice, spans = suffix_dedup._windows(np.frombuffer(record, np.uint8), hashers, 10)
+    strings = [record[i : i + 10] for i in range(len(record) - 9)]
+    places = {}
+    for place, string in enumerate(strings):
+        places.setdefault(string, []).append(place)
+    assert sorted(first.tolist()) == sorted(p[0] for p in places.values())
+    assert {strings[i]: bool(t) for i, t in zip(first, twice)} == {s: len(p) > 1 for s, p in places.items()}
+    assert len(set(zip(one.tolist(), other.tolist()))) == len(places)
+    covered = {i for a, b in spans.tolist() for i in range(a, b)}
+    assert covered == {i for p in places.values() for q in p[1:] for i in range(q, q + 10)}
+
+
+def test_runs_of_one_sign_send_few_strings(spark):
+    texts = [f"text {i} begins" + "a" * 30_000 + f"and {i} ends" for i in range(40)]
+    found = rows_of(removed(remove_repeats(docs(spark, doc_rows(texts)))))
+    assert found == sorted(((i, *r) for i, r in enumerate(slow_removal(texts))), key=repr)
+    hashers = suffix_dedup._Hasher(), suffix_dedup._Hasher(suffix_dedup._BASE ^ 6, 2)
+    first, *_, spans = suffix_dedup._windows(np.frombuffer(texts[0].encode(), np.uint8), hashers, 200)
+    assert len(first) < 450 and len(spans) == 1
 
 
 def test_repeated_rows_and_empty_table(spark):
