@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
+from gaugeflow.llm.frames import slices
+
 UNKNOWN = "und"
 #: Bounds of the labelled sample that the dictionaries are made from.
 SAMPLE_PER_LANGUAGE = 600
@@ -92,25 +94,23 @@ def learn_languages(docs: DataFrame, seed: int = 3) -> LanguageModel:
     return LanguageModel({lang: content for lang, content in made.items() if content})
 
 
-_GUESS = StructType(
-    [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())]
-)
-
+_ADDED = [
+    StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())
+]
 
-def _guesser(model: LanguageModel, min_margin: float):
-    coders: list[_Coder] = []  # made once per Python worker
 
-    @F.arrow_udf(_GUESS)
-    def guessed(texts: pa.Array) -> pa.Array:
-        if not coders:
-            coders.append(_Coder(model.dictionaries))
-        found = [coders[0].guess(text.as_py()) for text in texts]
-        names, margins = zip(*found) if found else ((), ())
-        rejected = [n == UNKNOWN or m < min_margin for n, m in found]
-        columns = [pa.array(names, pa.string()), pa.array(margins, pa.float64()), pa.array(rejected, pa.bool_())]
-        return pa.StructArray.from_arrays(columns, names=_GUESS.names)
+def _predictor(model: LanguageModel, min_margin: float, kept: list[str]):
+    def run(batches):
+        coder = _Coder(model.dictionaries)
+        for batch in slices(batches):
+            guesses = [coder.guess(t) for t in batch.column("text").to_pylist()]
+            names, margins = zip(*guesses) if guesses else ((), ())
+            rejected = [n == UNKNOWN or m < min_margin for n, m in guesses]
+            columns = [batch.column(c) for c in kept]
+            columns += [pa.array(names, pa.string()), pa.array(margins, pa.float64()), pa.array(rejected, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "lang_pred", "score", "rejected"])
 
-    return guessed
+    return run
 
 
 def predict_languages(
@@ -125,7 +125,9 @@ def predict_languages(
     ``min_margin``. Rows are judged one by one, repeated ones and null ids too.
     ``keep`` must not name lang_pred, score or rejected.
     """
-    if taken := set(keep) & set(_GUESS.names):
+    if taken := set(keep) & {f.name for f in _ADDED}:
         raise ValueError(f"columns with names of results: {sorted(taken)}")
-    guess = _guesser(model, min_margin)(F.col("text").cast("string"))
-    return docs.select(*keep, guess.alias("__guess")).select(*keep, "__guess.*")
+    rows = docs.select(*dict.fromkeys([*keep, "text"]))
+    kept = [f for f in rows.schema if f.name in keep]
+    run = _predictor(model, min_margin, [f.name for f in kept])
+    return rows.mapInArrow(run, StructType([*kept, *_ADDED]))
