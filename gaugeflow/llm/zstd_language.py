@@ -18,7 +18,7 @@ UNKNOWN = "und"
 #: Bounds of the labelled sample that the dictionaries are made from.
 SAMPLE_PER_LANGUAGE = 600
 SAMPLE_CHARS = 2000
-DICTIONARY_BYTES = 65_536
+DICTIONARY_BYTES = 65_536  # of each, from the start of the drawn texts in the order of their hashes
 #: Texts are encoded in pieces, so that the dictionary counts for all of a long text.
 PIECE_BYTES = 1024
 MIN_MARGIN = 0.002

@@ -1,6 +1,7 @@
 """Near copies, repeated strings, mixing and packing against brute force."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -254,6 +255,21 @@ def test_mix_meets_its_targets(spark, monkeypatch):
         assert row["target"] == pytest.approx(targets[row["source"]])
     for source, target in targets.items():
         assert abs(taken[source] - target) <= largest[source] / 2 + 1
+    # Which documents: whole epochs of all, then in the order of their keys while
+    # more than half of the document is inside the budget.
+    weight = {r["doc_id"]: r["weight"] for r in quality.collect()}
+    by_source = defaultdict(list)
+    for row in mixed:
+        uniform = (((row["mark"] & (1 << 64) - 1) >> 11) + 0.5) / 2**53
+        key = -math.log(uniform) / weight.get(row["doc_id"], source_mix.UNLABELLED_WEIGHT)
+        by_source[row["source"]].append((key, row["mark"], row["size"], row["taken"]))
+    for source, own in by_source.items():
+        epochs = min(3, math.floor(targets[source] / sizes[source] + 1e-9))
+        rest, upto = targets[source] - epochs * sizes[source], 0
+        for _, _, size, number in sorted(own):
+            chosen = rest > 0 and upto + size / 2 <= rest
+            assert number == size * (epochs + chosen)
+            upto += size
     again = mix_sources(frame.repartition(5), quality).collect()
     assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, mixed), key=repr)
 

@@ -1,6 +1,7 @@
 """Linking and searching vectors against brute force."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import rp_forest
@@ -52,6 +53,15 @@ def test_links_are_those_of_brute_force(spark, monkeypatch):
     assert rows_of(found) == brute_links(rows)
 
 
+@pytest.mark.parametrize("leaf_rows", [180, 40, 10])
+def test_recall_of_links_at_three_depths(spark, leaf_rows):
+    rows = clustered(seed=3)
+    links = lambda found: {r[0]: r[1] for r in found}
+    found, true = links(rows_of(link_vectors(table(spark, rows, VECTORS), leaf_rows=leaf_rows))), links(brute_links(rows))
+    assert all(found[i] <= n for i, n in true.items())
+    assert sum(found.values()) >= 0.9 * sum(true.values()) > 0
+
+
 def test_odd_vectors_link_with_nothing(spark):
     one = [1.0, 2.0, 3.0]
     rows = [
