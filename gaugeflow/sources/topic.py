@@ -92,10 +92,10 @@ def publish(
         write(segment, _segments(spark, folder), "overwrite")
         return segment
     while True:
-        known = _segments(spark, folder)
-        number = storage.claim(spark, f"{folder}/{_CLAIMS}", max(known, default=-1) + 1)
+        number = storage.claim(spark, f"{folder}/{_CLAIMS}", max(_segments(spark, folder), default=-1) + 1)
         try:
-            write(number, known, "errorifexists")
+            # Listed again: the claim may be past segments that the first listing lacked.
+            write(number, _segments(spark, folder), "errorifexists")
             return number
         except AnalysisException as error:
             if error.getCondition() != "PATH_ALREADY_EXISTS":
