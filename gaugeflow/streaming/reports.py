@@ -94,8 +94,8 @@ def stream_reports(
                         storage.delete(session, written)
                         return
             # Last, after every line has parsed.
-            counted = session.createDataFrame([(received,)], f"{RECEIVED} long")
-            storage.write_batch(counted.coalesce(1), f"{root}/{RECEIVED}", run, number)
+            counted = session.range(0, 1, 1, 1).select(F.lit(received).cast("long").alias(RECEIVED))
+            storage.write_batch(counted, f"{root}/{RECEIVED}", run, number)
             if echo:
                 print(f"count received {received}")
         finally:
