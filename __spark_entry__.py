@@ -522,6 +522,11 @@ def _with_tail(spark, sf_dir):
     return prepared.ingest(table, "second", read_topic(spark, root, streaming=True))
 
 
+def q_data_with_tail(spark, sf_dir):
+    """Current rows of compacted days to which repeated readings came since."""
+    return _with_tail(spark, sf_dir).family("data")
+
+
 def q_indexed_scan_50(spark, sf_dir):
     """First rows over key ranges of compacted files and a tail of batches."""
     return _with_tail(spark, sf_dir).scan_family("data", 50)
@@ -801,6 +806,7 @@ _SELECTS = {
           PARTITION BY rowkey
           ORDER BY "offset" < (SELECT ceil(count(*) / 2) FROM events) DESC,
                    "offset" DESC) = 1""",
+    "data_with_tail": "SELECT * FROM data",
     "indexed_scan_50": "SELECT * FROM data ORDER BY rowkey LIMIT 50",
     "indexed_wide_5": "SELECT * FROM wide ORDER BY rowkey LIMIT 5",
     "incremental_stats": "SELECT * FROM stats",

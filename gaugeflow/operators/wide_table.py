@@ -34,7 +34,7 @@ from pyspark.sql.types import (
 
 from gaugeflow.functions.keys import day_folder, row_key
 from gaugeflow.operators.alerts import low_pressure
-from gaugeflow.operators.latest import newest
+from gaugeflow.operators.latest import newest, newest_over_base
 from gaugeflow.operators.stats import stats_cells
 from gaugeflow.schemas import MEASURES, STATS_CELLS
 from gaugeflow.session import sized_shuffle
@@ -63,6 +63,9 @@ _BATCHES = 10**9
 # A limited scan looks at this many key ranges and file names on the driver; beyond
 # that, files are told apart by the statistics in them instead.
 _RANGE_ROWS = 10_000
+# Row keys of a tail are broadcast up to this size in memory, versions included.
+_TAIL_BYTES = 64 * 1024 * 1024
+_TAIL_ROW_BYTES = 64
 _RANGE = "day string, file string, least string, largest string, rows long"
 _BATCH = "run string, batch long, finished long"
 
@@ -292,26 +295,41 @@ class WideTable:
     def family(self, family: str, days: set[str] | None = None) -> DataFrame:
         """The family's current rows: the newest version per row key.
 
-        ``days`` names day folders; others are not read then. Only contested days are compared, those held by a batch that is not
-        compacted or by two bases (a compaction was lost halfway). Settled
-        days have one row per key already and are read without a shuffle.
+        ``days`` names day folders; others are not read then. Only contested days
+        are compared, those held by a batch that is not compacted or by two bases (a
+        compaction was lost halfway). Settled days have one row per key already and
+        are read without a shuffle. A contested day with one base shuffles only the
+        later batches' rows while their keys are few enough to broadcast.
         """
         # First the files, then the names: a batch that arrives in between
         # makes its days contested, and its rows come with the next read.
         versions, cells = self.versions(family), FAMILIES[family]
-        settled, contested = _settled_and_contested(self._batches(family))
+        batches = self._batches(family)
+        settled, contested = _settled_and_contested(batches)
+        over_base = _held_by_one_base(batches) & contested
         if days is not None:
-            settled, contested = settled & days, contested & days
+            settled, contested, over_base = settled & days, contested & days, over_base & days
             if not (here := self.folders(family, days)):
                 return versions.select("rowkey", *cells).limit(0)
             versions = self._stored(self.spark, family, *here)
-        if not settled:
+        if not settled and not over_base:
             return newest(versions, cells, "version")
         if not contested:
             return versions.select("rowkey", *cells)
         disputed = F.col("day").isin(sorted(contested))
-        base = versions.where(~disputed).select("rowkey", *cells)
-        return base.unionByName(newest(versions.where(disputed), cells, "version"))
+        parts = [versions.where(~disputed).select("rowkey", *cells)] if settled else []
+        if over_base:
+            held = _on(versions, over_base)
+            base, tail = (held.where(F.col("run") == _BASE_RUN), held.where(F.col("run") != _BASE_RUN))
+            if _key_bytes(tail) <= _TAIL_BYTES:
+                parts.append(newest_over_base(base, tail, cells, "version"))
+                contested = contested - over_base
+        if contested:
+            parts.append(newest(_on(versions, contested), cells, "version"))
+        found = parts[0]
+        for part in parts[1:]:
+            found = found.unionByName(part)
+        return found
 
     def row_count(self) -> DataFrame:
         """Number of rows that have ``data`` cells."""
@@ -495,3 +513,19 @@ def _settled_and_contested(
         contested |= days if run != _BASE_RUN else days & seen
         seen |= days
     return seen - contested, contested
+
+
+def _held_by_one_base(batches: dict[tuple[str, int], set[str]]) -> set[str]:
+    """Days that stand in exactly one base, whatever else holds them."""
+    held = Counter(day for (run, _), days in batches.items() if run == _BASE_RUN for day in days)
+    return {day for day, count in held.items() if count == 1}
+
+
+def _on(versions: DataFrame, days: set[str]) -> DataFrame:
+    return versions.where(F.col("day").isin(sorted(days)))
+
+
+def _key_bytes(versions: DataFrame) -> int:
+    """Size of the row keys with their versions in memory; reads one column."""
+    size = F.sum(F.octet_length("rowkey") + _TAIL_ROW_BYTES).alias("bytes")
+    return versions.agg(size).first()["bytes"] or 0

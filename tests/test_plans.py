@@ -7,6 +7,7 @@ from helpers import frame, line, send, table
 
 import __spark_entry__ as contract
 from gaugeflow.functions import parse_sensor
+from gaugeflow.operators import wide_table
 from gaugeflow.operators import (
     avg_psi_by_day,
     daily_stats,
@@ -63,7 +64,7 @@ def test_newest_rows_hash_aggregate_before_the_shuffle(made):
     assert "partial_max_by" in text
 
 
-def test_only_days_of_the_tail_are_shuffled(spark, tmp_path):
+def test_only_rows_of_the_tail_are_shuffled(spark, tmp_path, monkeypatch):
     made = table(spark, tmp_path)
     dates = [f"{month}/1/24" for month in range(1, 10)]
     for batch in range(3):
@@ -76,10 +77,19 @@ def test_only_days_of_the_tail_are_shuffled(spark, tmp_path):
     made.put_readings(parse_sensor(lines, keep=("offset",)), "first", 9)
     rows = made.family("data")
     text = plan(rows)
-    base, contested = text.split("HashAggregate", 1)
+    # The tail's newest rows and their keys are shuffled; both bases are not.
+    shuffled = [part[part.index("FileScan") :] for part in text.split("Exchange hashpartitioning")[1:]]
+    assert len(shuffled) == 3 and "SinglePartition" not in text
+    assert all(re.search(r"NOT \(run#\d+ = 0base\)", part.split("\n")[0]) for part in shuffled)
+    assert re.search(r"NOT \(?day#", text) and "SortMergeJoin" not in text
+    assert rows.count() == 9
+    # Beyond the bound the contested day is shuffled whole, still no other day.
+    monkeypatch.setattr(wide_table, "_TAIL_BYTES", 0)
+    rows = made.family("data")
+    base, contested = plan(rows).split("HashAggregate", 1)
     assert "Exchange" not in base and re.search(r"NOT \(?day#", base)
     assert contested.count("Exchange") == 1 and "d5-1-24" in contested
-    assert "Join" not in text and text.count("FileScan") == 2
+    assert "Join" not in contested and plan(rows).count("FileScan") == 2
     assert rows.count() == 9
     # Only per-day partial results of the base are shuffled.
     text = plan(daily_stats(sensor_rows(made.family("data"))))

@@ -8,6 +8,7 @@ from helpers import frame, ingest, line, rows, send, table
 from pyspark.sql import functions as F
 
 from gaugeflow.functions import parse_sensor
+from gaugeflow.operators import wide_table
 from gaugeflow.operators import daily_stats, sensor_rows, stats_cells
 from gaugeflow.plans.jobs import write_daily_stats
 from gaugeflow.schemas import SENSOR_ROW, STATS_CELLS
@@ -265,8 +266,10 @@ def test_compaction_leaves_the_newest_batch_of_a_run(spark, tmp_path):
     assert made.family("data").count() == 3
 
 
+@pytest.mark.parametrize("tail_bytes", [0, 64 << 20])
 @pytest.mark.parametrize("by_arrival", [True, False])
-def test_base_with_later_batches(spark, tmp_path, by_arrival):
+def test_base_with_later_batches(spark, tmp_path, monkeypatch, by_arrival, tail_bytes):
+    monkeypatch.setattr(wide_table, "_TAIL_BYTES", tail_bytes)
     lines = readings(500, hot=150)
     made = table(spark, tmp_path, by_arrival)
     for batch in range(3):
@@ -292,6 +295,26 @@ def test_base_with_later_batches(spark, tmp_path, by_arrival):
     assert as_dict(made.family("data")) == data
 
 
+def test_a_tail_wins_loses_ties_and_adds_keys_over_a_base(spark, tmp_path):
+    made = table(spark, tmp_path)
+    times = [f"0:{minute}" for minute in range(6)]
+    put(spark, made, [line(time=t, psi=1.0) for t in times[:5]], first_offset=10)
+    made.compact("data", idle=True)
+    older, newer = [line(time=t, psi=2.0) for t in times[:2]], [line(time=t, psi=3.0) for t in times[1:3]]
+    put(spark, made, older, run="replay", batch=0)
+    put(spark, made, newer + [line(time=times[5], psi=4.0)] * 3, first_offset=20, batch=1)
+    put(spark, made, [line(time=times[3], psi=1.0)], first_offset=13, run="replay", batch=1)
+    # A day of the tail alone, and a settled day.
+    put(spark, made, [line(date="2/1/24", psi=5.0)], first_offset=90, batch=2)
+    expected = [(f"a_1/1/24 {t}", psi) for t, psi in zip(times, (1.0, 3.0, 3.0, 1.0, 1.0, 4.0))]
+    expected.append(("a_2/1/24 0:00", 5.0))
+    assert rows(made.family("data"), "rowkey", "psi") == expected
+    day = {"d1-1-24"}
+    assert rows(made.family("data", day), "rowkey", "psi") == expected[:-1]
+    made.compact("data", idle=True)
+    assert rows(made.family("data"), "rowkey", "psi") == expected
+
+
 def test_truncate_then_reload(spark, tmp_path):
     made = table(spark, tmp_path / "table")
     send(spark, tmp_path / "topics", readings(50))
