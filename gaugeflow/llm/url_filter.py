@@ -1,15 +1,19 @@
 """URL filter: path rules first, then a blocked Bloom filter with an exact join.
 
-The filter of listed canonical URLs is a table of 64-bit blocks. A page's URL
-looks up one block; if all its bits are set it is a possible hit, and only
-possible hits are joined with the list itself, which removes false positives.
+The filter of listed canonical URLs is a table of 64-bit blocks, packed into
+arrays and broadcast up to a measured size. A page's URL looks up one block; if
+all its bits are set it is a possible hit, and only possible hits are joined with
+the list itself, which removes false positives. Pages are read and parsed once.
 All steps are DataFrame functions.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeflow.llm.frames import parts, sized_broadcast, stored
+from gaugeflow.llm.frames import parts, stored
+
+#: The filter is broadcast up to this size, some 27 million listed URLs; beyond, it is joined.
+FILTER_BYTES = 64 * 1024 * 1024
 
 #: Fixed values of the contract: verdict, host, path.
 RULES = (
@@ -22,7 +26,8 @@ RULES = (
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _KEYS_PER_BLOCK = 4
 _PROBES = 4
-_BLOCK_BYTES = 32
+_ROW_BLOCKS = 64
+_ROW_BYTES = 8 * _ROW_BLOCKS + 128
 
 
 def _rest(url: Column) -> Column:
@@ -71,6 +76,25 @@ def _bits(canonical: Column) -> Column:
     return word
 
 
+def _filter(listed: DataFrame, rows: int) -> tuple[DataFrame, int]:
+    """The blocks of ``rows`` listed URLs, a row of (place, words) for each 64, and their number."""
+    blocks = parts(rows, _KEYS_PER_BLOCK)
+    block = _block(F.col("canonical"), blocks).alias("block")
+    words = listed.groupBy(block).agg(F.bit_or(_bits(F.col("canonical"))).alias("word"))
+    inside = F.pmod(F.col("block"), F.lit(_ROW_BLOCKS))
+    row = F.collect_list(F.struct(inside, "word"))
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(_ROW_BLOCKS - 1).cast("long"))
+    packed = words.groupBy(_place(F.col("block")).alias("place")).agg(F.map_from_entries(row).alias("held"))
+    filled = F.transform(numbers, lambda i: F.coalesce(F.element_at("held", i), F.lit(0).cast("long")))
+    packed = packed.select("place", filled.alias("words"))
+    small = parts(blocks, _ROW_BLOCKS) * _ROW_BYTES <= FILTER_BYTES
+    return F.broadcast(packed) if small else packed, blocks
+
+
+def _place(block: Column) -> Column:
+    return F.floor(block / F.lit(_ROW_BLOCKS))
+
+
 def with_parts(pages: DataFrame) -> DataFrame:
     """page_id, host, path and canonical of every page."""
     host, path = url_host(F.col("url")), url_path(F.col("url"))
@@ -88,40 +112,26 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     columns are ignored. An empty list blocks nothing.
     """
     listed = stored(listed.select("canonical").where("canonical IS NOT NULL").distinct(), "listed")
-    rows = listed.count()
-    blocks = parts(rows, _KEYS_PER_BLOCK)
-    canonical = F.col("canonical")
-    bloom = listed.groupBy(_block(canonical, blocks).alias("block")).agg(
-        F.bit_or(_bits(canonical)).alias("word")
-    )
-    bloom = sized_broadcast(bloom, blocks, _BLOCK_BYTES)
-
-    judged = with_parts(pages)
-    host, path = F.col("host"), F.col("path")
-    judged = judged.withColumns(
+    bloom, blocks = _filter(listed, listed.count())
+    host, path, canonical = F.col("host"), F.col("path"), F.col("canonical")
+    judged = with_parts(pages).withColumns(
         {
             "rule": _rule(host, path, rules, lambda r: r[1] + r[2]),
             "verdict": _rule(host, path, rules, lambda r: r[0]),
         }
     )
-    by_rule = judged.where("rule IS NOT NULL").drop("canonical")
-    open_rows = judged.where("rule IS NULL").drop("verdict")
-    # A URL without a host has no block; the salt keeps such rows apart.
+    # Only URLs with a host and without a rule are looked up; the salt keeps others apart.
+    block = F.when(F.col("rule").isNull(), _block(canonical, blocks))
     unlisted = -1 - F.pmod(F.xxhash64("page_id"), F.lit(1 << 20))
-    open_rows = open_rows.withColumn("block", F.coalesce(_block(canonical, blocks), unlisted))
-    probed = open_rows.join(bloom, "block", "left")
-    possible = F.coalesce(F.col("word").bitwiseAND(_bits(canonical)) == _bits(canonical), F.lit(False))
-    probed = probed.withColumn("possible", possible)
-    exact = probed.where("possible").join(listed.withColumn("hit", F.lit(True)), "canonical", "left")
-
-    def shown(frame: DataFrame, verdict) -> DataFrame:
-        return frame.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
-
-    return (
-        shown(by_rule, F.col("verdict"))
-        .union(shown(probed.where("NOT possible"), F.lit("allow")))
-        .union(shown(exact, F.when(F.col("hit"), "block").otherwise("allow")))
-    )
+    probed = judged.withColumns({"block": block, "place": F.coalesce(_place(block), unlisted)})
+    probed = probed.join(bloom, "place", "left")
+    word = F.element_at("words", F.pmod(F.col("block"), F.lit(_ROW_BLOCKS)).cast("int") + 1)
+    possible = F.coalesce(word.bitwiseAND(_bits(canonical)) == _bits(canonical), F.lit(False))
+    shown = ["page_id", "host", "path", "rule"]
+    probed = stored(probed.select(*shown, "verdict", F.when(possible, canonical).alias("canonical")), "probed")
+    exact = probed.where("canonical IS NOT NULL").join(listed.withColumn("hit", F.lit(True)), "canonical", "left")
+    settled = probed.where("canonical IS NULL").select(*shown, F.coalesce("verdict", F.lit("allow")).alias("verdict"))
+    return settled.union(exact.select(*shown, F.when(F.col("hit"), "block").otherwise("allow").alias("verdict")))
 
 
 def thin_page_urls(pages: DataFrame, min_chars: int = 1000) -> DataFrame:

@@ -199,7 +199,9 @@ def canonical(url):
     return bare + path.rstrip("/") if bare else None
 
 
-def test_verdicts_are_those_of_brute_force(spark):
+@pytest.mark.parametrize("filter_bytes", [0, 64 << 20])
+def test_verdicts_are_those_of_brute_force(spark, monkeypatch, filter_bytes):
+    monkeypatch.setattr(url_filter, "FILTER_BYTES", filter_bytes)
     many = [f"https://h{i % 700}.net/p{i}" for i in range(3000)]
     rows = [(i, u, None) for i, u in enumerate([*URLS, *URLS, *many])] + [(None, "http://b.net/1", None)]
     bad = ["http://b.net/1", "http://com/de/", None, "http://e.net/" + "z" * 70_000, *many[::3], *many[::6]]
@@ -212,7 +214,14 @@ def test_verdicts_are_those_of_brute_force(spark):
     assert url_filter.judge_urls(table(spark, [], PAGES), frame).count() == 0
 
 
-def test_filter_runs_without_python_workers(spark):
+def test_filter_runs_without_python_workers(spark, monkeypatch):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
-    plan = url_filter.judge_urls(pages, url_filter.thin_page_urls(pages))._jdf.queryExecution().toString()
-    assert not re.search("Python|Pandas|Arrow|MapIn|CartesianProduct|NestedLoop", plan)
+    written, stored = [], url_filter.stored
+    monkeypatch.setattr(url_filter, "stored", lambda frame, name: written.append(frame) or stored(frame, name))
+    frames = [url_filter.judge_urls(pages, url_filter.thin_page_urls(pages)), *written]
+    plans = [frame._jdf.queryExecution().toString() for frame in frames]
+    assert not any(re.search("Python|Pandas|Arrow|MapIn|CartesianProduct|NestedLoop", plan) for plan in plans)
+    # The list and the probe read the pages once each; the verdicts read what the probe wrote.
+    assert ["pages.parquet" in plan for plan in plans] == [False, True, True]
+    probe = plans[2].split("== Physical Plan ==")[1]
+    assert probe.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in probe
