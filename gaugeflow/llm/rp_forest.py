@@ -3,10 +3,14 @@
 Every tree splits recursively at medians along random directions; vectors close
 to a split go to both sides. Vectors meet in leaves, where all are compared. A
 leaf of any size is compared in blocks, so that a task holds two blocks at most.
+The first splits are fitted on a sample of all vectors; leaves that turn out large
+are split again by trees fitted on samples of their own, until they are small or a
+split would not make less work, as among vectors that nearly all link.
 Equal vectors stand for each other; a pair that shares several leaves counts in
 the least of them only, so links are summed per vector and never listed.
 """
 
+import json
 import math
 
 import numpy as np
@@ -22,9 +26,15 @@ from gaugeflow.llm.vectors import encoded_vectors, matrix
 #: The trees are fitted on about this many vectors; all vectors are placed in them.
 SAMPLE_ROWS = 40_000
 _MIN_NODE_SAMPLE = 16
+#: A leaf over this many times ``leaf_rows`` is split again, on about so many rows of its own.
+_LARGE = 4
+_NODE_ROWS = 4096
+#: Two children with a larger share of the rows than this hold more pairs than their parent.
+_BREAK_EVEN = 0.7
 _BLOCK_ROWS = 1024
 _LEAF_COLUMNS = 4096
-_LEAVES = "kin binary, leaf long, id long, n long, vec binary, leaves array<long>"
+_ROWS = "kin binary, leaf long, id long, rep long, n long, vec binary"
+_LEAVES = f"{_ROWS}, leaves array<long>"
 _FOUND = "id long, links long, root long"
 
 
@@ -33,9 +43,9 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def _directions(trees: int, depth: int, size: int, seed: int) -> np.ndarray:
+def _directions(trees: int, depth: int, size: int, *seeds: int) -> np.ndarray:
     """One unit direction per tree and level."""
-    drawn = np.random.default_rng([seed, size]).standard_normal((trees, depth, size))
+    drawn = np.random.default_rng([*seeds, size]).standard_normal((trees, depth, size))
     return drawn / np.linalg.norm(drawn, axis=2, keepdims=True)
 
 
@@ -53,7 +63,7 @@ def _grow(unit: np.ndarray, directions: np.ndarray, spill: float, rate: float, l
         places = unit[rows] @ directions[level]
         cut = float(np.median(places))
         low, high = _split(places, cut, spill)
-        if max(low.sum(), high.sum()) > 0.9 * len(rows):
+        if max(low.sum(), high.sum()) > _BREAK_EVEN * len(rows):
             continue  # one tight cluster: splits would only copy it
         cuts[node] = cut
         todo += [(2 * node, level + 1, rows[low]), (2 * node + 1, level + 1, rows[high])]
@@ -82,7 +92,7 @@ def _placer(forests: dict, trees: int, depth: int, seed: int, spill: float):
     def run(batches):
         for batch in slices(batches, 1024):
             labels, blobs = batch.column("label").to_pylist(), batch.column("vec").to_pylist()
-            ids, numbers = batch.column("id").to_pylist(), batch.column("n").to_pylist()
+            ids, numbers, reps = (batch.column(name).to_pylist() for name in ("id", "n", "rep"))
             groups: dict = {}
             for row, (label, blob) in enumerate(zip(labels, blobs)):
                 groups.setdefault((label, len(blob) // 8), []).append(row)
@@ -96,18 +106,101 @@ def _placer(forests: dict, trees: int, depth: int, seed: int, spill: float):
                 kin = sha1(f"{size}|{label}".encode()).digest()
                 for row, leaves in zip(rows, placed):
                     names = [hash((tree, node)) for tree, node in leaves]
-                    out += [(kin, name, ids[row], numbers[row], blobs[row], names) for name in set(names)]
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-            columns = list(zip(*out)) or [[]] * 6
+                    out += [(kin, name, ids[row], reps[row], numbers[row], blobs[row], names) for name in set(names)]
+            whole = pa.int64()
+            kinds = [pa.binary(), whole, whole, whole, whole, pa.binary(), pa.list_(whole)]
+            columns = list(zip(*out)) or [[]] * 7
             for start in range(0, max(1, len(out)), 4096):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c[start : start + 4096], k) for c, k in zip(columns, kinds)],
-                    names=["kin", "leaf", "id", "n", "vec", "leaves"],
+                    names=["kin", "leaf", "id", "rep", "n", "vec", "leaves"],
                 )
 
     return run
 
 
+def _own_directions(leaf: int, rows: int, leaf_rows: int, size: int, seed: int) -> np.ndarray:
+    return _directions(1, _depth(rows, leaf_rows), size, seed, leaf % (1 << 63))
+
+
+def _depth(rows: int, leaf_rows: int) -> int:
+    return max(1, math.ceil(math.log2(max(2, 2 * rows / leaf_rows))))
+
+
+def _fitter(leaf_rows: int, spill: float, seed: int):
+    """Cuts of the tree of one large leaf from a sample of it; no row if splits do not help."""
+
+    def run(key, sample: pd.DataFrame) -> pd.DataFrame:
+        kin, leaf, rows = key[0], int(key[1]), int(key[2])
+        unit = _unit(matrix(sample["vec"].tolist()))
+        size = unit.shape[1]
+        directions = _own_directions(leaf, rows, leaf_rows, size, seed)[0]
+        cuts = _grow(unit, directions, spill / math.sqrt(size), min(1.0, len(sample) / rows), leaf_rows)
+        found = [(kin, leaf, rows, json.dumps(list(cuts.items())))] if cuts else []
+        return pd.DataFrame(found, columns=["kin", "leaf", "rows", "cuts"])
+
+    return run
+
+
+def _splitter(leaf_rows: int, spill: float, seed: int):
+    """Rows of a part of one large leaf in the leaves of its tree."""
+
+    def run(key, part: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        if not len(part):
+            return part.drop(columns="part")
+        leaf, rows = int(key[1]), int(tree["rows"].iat[0])
+        unit = _unit(matrix(part["vec"].tolist()))
+        size = unit.shape[1]
+        directions = _own_directions(leaf, rows, leaf_rows, size, seed)
+        cuts = dict(json.loads(tree["cuts"].iat[0]))
+        placed = _leaves_of(unit, [cuts], directions, spill / math.sqrt(size))
+        row = np.repeat(np.arange(len(part)), [len(leaves) for leaves in placed])
+        names = [hash((leaf, node)) for leaves in placed for _, node in leaves]
+        return part.drop(columns="part").iloc[row].assign(leaf=names)
+
+    return run
+
+
+def _split_large(placed: DataFrame, leaf_rows: int, spill: float, seed: int) -> DataFrame:
+    """``placed`` with its large leaves split, each vector's list of leaves renewed.
+
+    Only rows of large leaves are shuffled, in parts of a bounded size. Every round
+    splits the leaves the last one made that are still large; a leaf that no split
+    helps stays as it is.
+    """
+    leaf, kept, todo = ["kin", "leaf"], [], placed.drop("leaves")
+    while True:
+        large = todo.groupBy(*leaf).agg(F.count("*").alias("rows")).where(F.col("rows") > _LARGE * leaf_rows)
+        large = stored(large, "large")
+        if not (count := large.count()):
+            break
+        inside = todo.join(sized_broadcast(large, count, 64), leaf)
+        drawn = F.pmod(F.xxhash64(F.lit(len(kept)), "id", "rep"), F.lit(1 << 20)) * F.col("rows")
+        sample = inside.where(drawn < _NODE_ROWS * (1 << 20)).select(*leaf, "rows", "vec")
+        fitted = sample.groupBy(*leaf, "rows").applyInPandas(
+            _fitter(leaf_rows, spill, seed), "kin binary, leaf long, rows long, cuts string"
+        )
+        trees = stored(fitted, "trees").withColumn("parts", F.ceil(F.col("rows") / _NODE_ROWS).cast("int"))
+        found = trees.count()
+        if not found:
+            break
+        names = sized_broadcast(trees.select(*leaf, "parts"), found, 64)
+        part = F.pmod(F.xxhash64(F.lit(-1), "id", "rep"), F.col("parts")).cast("int")
+        split = todo.join(names, leaf).withColumn("part", part).drop("parts")
+        trees = trees.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        smaller = split.groupBy(*leaf, "part").cogroup(trees.groupBy(*leaf, "part")).applyInPandas(
+            _splitter(leaf_rows, spill, seed), _ROWS
+        )
+        kept.append(todo.join(names, leaf, "left_anti"))
+        todo = stored(smaller, "leaves")
+    if not kept:
+        return placed
+    for part in kept:
+        todo = todo.unionByName(part)
+    lists = todo.groupBy("id", "rep").agg(F.collect_set("leaf").alias("leaves"))
+    return stored(todo.join(lists, ["id", "rep"]).select("kin", "leaf", "id", "rep", "n", "vec", "leaves"), "leaves")
+
+
 def _met_before(leaves: list, leaf: int) -> np.ndarray:
     """Which pairs of rows also share a leaf with a smaller name than ``leaf``."""
     rows = np.repeat(np.arange(len(leaves)), [len(names) for names in leaves])
@@ -184,9 +277,10 @@ def link_vectors(
     label link with nothing and are a component of their own; a null id has a
     null component and is not kept. Repeated rows are rows of their own and link
     with each other; n_links counts rows. Rows that share an id but not a vector
-    share their links. Other columns are ignored. ``spill_share`` is the width, on either side of a split, of the strip
-    that goes to both children, in deviations of the projected distance of two
-    vectors just at the threshold.
+    share their links. Other columns are ignored. ``spill_share`` is the width, on either side of a
+    split, of the strip that goes to both children, in deviations of the projected
+    distance of two vectors just at the threshold. ``leaf_rows`` is aimed at; leaves
+    of several times as many rows are split again.
     """
     rows = stored(
         encoded_vectors(embeddings).withColumn("key", F.when(F.col("label").isNotNull(), F.col("key"))),
@@ -198,13 +292,13 @@ def link_vectors(
     )
     reps = stored(reps, "reps")
     count = reps.count()
-    depth = max(1, math.ceil(math.log2(max(2, 2 * count / leaf_rows))))
+    depth = _depth(count, leaf_rows)
     spill = spill_share * math.sqrt(2 - 2 * threshold)
     forests = _fit(reps, count, trees, depth, leaf_rows, spill, seed)
-    placed = reps.select("id", "n", "label", "vec").mapInArrow(
+    placed = reps.select("id", F.xxhash64("key").alias("rep"), "n", "label", "vec").mapInArrow(
         _placer(forests, trees, depth, seed, spill), _LEAVES
     )
-    placed = stored(placed, "leaves")
+    placed = _split_large(stored(placed, "leaves"), leaf_rows, spill, seed)
     sizes = stored(
         placed.groupBy("kin", "leaf").count().select("kin", "leaf", F.ceil(F.col("count") / _BLOCK_ROWS).cast("int").alias("blocks")),
         "sizes",

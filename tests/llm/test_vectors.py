@@ -62,6 +62,37 @@ def test_recall_of_links_at_three_depths(spark, leaf_rows):
     assert sum(found.values()) >= 0.9 * sum(true.values()) > 0
 
 
+def test_leaves_stay_small_however_many_rows(spark, monkeypatch):
+    # The forest's sample is too small for its leaves to be, so these are split again.
+    monkeypatch.setattr(rp_forest, "SAMPLE_ROWS", 100)
+    monkeypatch.setattr(rp_forest, "_NODE_ROWS", 256)
+    largest, stored = [], rp_forest.stored
+
+    def noted(frame, name):
+        done = stored(frame, name)
+        if name == "sizes":
+            largest.append(done.agg(F.max("blocks")).first()[0])
+        return done
+
+    monkeypatch.setattr(rp_forest, "stored", noted)
+    monkeypatch.setattr(rp_forest, "_BLOCK_ROWS", rp_forest._LARGE * 16)
+    for groups in (50, 250):
+        rows = [(i, v, 1) for i, v, _ in clustered(seed=groups, groups=groups, size=6)]
+        found, true = rows_of(link_vectors(table(spark, rows, VECTORS), leaf_rows=16)), brute_links(rows)
+        assert all(a[0] == b[0] and a[1] <= b[1] for a, b in zip(found, true))
+        assert sum(r[1] for r in found) >= 0.9 * sum(r[1] for r in true) > 0
+    assert largest == [1, 1]
+
+
+def test_a_tight_cluster_is_not_split(spark, monkeypatch):
+    monkeypatch.setattr(rp_forest, "_BLOCK_ROWS", 64)
+    drawn = np.random.default_rng(5)
+    centre = drawn.standard_normal(64)
+    rows = [(i, (centre + 0.01 * drawn.standard_normal(64)).tolist(), 1) for i in range(300)]
+    found = rows_of(link_vectors(table(spark, rows, VECTORS), leaf_rows=16))
+    assert found == sorted(((i, 299, 0, i == 0) for i in range(300)), key=repr)
+
+
 def test_odd_vectors_link_with_nothing(spark):
     one = [1.0, 2.0, 3.0]
     rows = [
