@@ -13,6 +13,12 @@ that is near it. Texts in between are compared with those near the leader, and
 texts not similar to the leader with each other, both in blocks of bounded size
 whose tasks return no more links than they have texts. So no link is lost, and
 no group is paired out.
+
+Where a leader has more texts unlike it than a block holds, as with a passage
+that unlike texts share, these are told apart first: shingles are ordered by the
+number of texts that hold them, and of two similar texts each has a common one
+among its first ones, however these are ordered. Only texts connected by such
+shingles are compared; a text whose first shingles are its own goes.
 """
 
 import hashlib
@@ -41,6 +47,7 @@ _WORD = re.compile(r"\w+")
 _SKETCHED = "doc_id long, copy binary, content binary, bands array<long>"
 _TEXTS = "content binary, shingles binary"
 _PAIRS = "a binary, b binary, similarity double"
+_SPELLED = "b binary, needed int, shingle long"
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -166,6 +173,27 @@ def _shingled(batches):
             )
 
 
+def _speller(least: float):
+    """A row for each shingle of each text, with how many of them a similar text has at least."""
+
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                part = batch.slice(row, 1)
+                found = np.frombuffer(part.column("shingles")[0].as_py(), dtype="<i8")
+                needed = max(1, int(np.ceil(least * len(found) - 1e-6)))
+                for start in range(0, len(found), 1 << 16):
+                    some = found[start : start + (1 << 16)]
+                    columns = [
+                        part.column("content").take(pa.array(np.zeros(len(some), dtype=np.int64))),
+                        pa.array(np.full(len(some), needed, dtype=np.int32)),
+                        pa.array(some),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["b", "needed", "shingle"])
+
+    return run
+
+
 def _arrays(column) -> list[np.ndarray]:
     return [np.frombuffer(blob, dtype="<u8") for blob in column]
 
@@ -314,9 +342,40 @@ def _unlinked(pairs: DataFrame, member: DataFrame) -> DataFrame:
     return pairs.where(apart).drop("of_a", "of_b")
 
 
+def _connected(texts: DataFrame, least: float) -> DataFrame:
+    """(b, part) of the texts that may be similar to another one; similar ones have one part.
+
+    A text of n shingles shares at least ``least`` of them with a similar one. In one
+    order of all shingles, here by rising number of texts, two similar texts then have
+    a common shingle that in neither is among the last ``least * n - 1``.
+    """
+    counts = texts.mapInArrow(_speller(least), _SPELLED).groupBy("shingle").agg(F.count("*").alias("n"))
+    counts = stored(counts.where("n > 1"), "counts")
+    held = texts.mapInArrow(_speller(least), _SPELLED).join(counts, "shingle")
+    last = Window.partitionBy("b").orderBy(F.desc("n"), F.desc("shingle"))
+    first = held.withColumn("row", F.row_number().over(last)).where("row >= needed")
+    first = stored(first.select("b", "shingle"), "first")
+    one = first.groupBy("shingle").agg(F.min("b").alias("one"))
+    members = components(first.join(one, "shingle").select("b", "one"), "b", "one")
+    return members.select(F.col("id").alias("b"), F.col("component").alias("part"))
+
+
+def _told_apart(left: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The texts b of each leader a, those of a leader of many grouped by part."""
+    many = left.groupBy("a").count().where(F.col("count") > _BLOCK_TEXTS).select("a")
+    many = stored(left.join(many, "a", "left_semi"), "many")
+    if many.isEmpty():
+        return left
+    some = texts.join(many.select(F.col("b").alias("content")).distinct(), "content", "left_semi")
+    parts = stored(_connected(some, least), "parts")
+    grouped = many.join(parts, "b").select(F.concat("a", "part").alias("a"), "b")
+    return left.join(many.select("a").distinct(), "a", "left_anti").select("a", "b").union(grouped)
+
+
 def _paired(left: DataFrame, member: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Links among the texts b of each leader a, by pairs of blocks."""
     named = member.select(F.col("id").alias("b"), "component")
+    left = _told_apart(stored(left, "left"), texts, least)
     blocked = stored(_blocked(left).join(named, "b", "left"), "blocks")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     blocked = blocked.withColumn("other", other).select(

@@ -7,9 +7,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from gaugeflow.llm import best_fit, order_minhash, source_mix, suffix_dedup
 from gaugeflow.llm.best_fit import best_fit_plan, pack_documents
@@ -109,6 +111,47 @@ def test_a_chain_of_copies_is_one_class_and_blocks_change_nothing(spark, monkeyp
     assert rows_of(near_duplicates(docs(spark, rows))) == classes
 
 
+def test_texts_that_share_a_passage_are_not_copied_often(spark, monkeypatch):
+    monkeypatch.setattr(order_minhash, "_BLOCK_TEXTS", 16)
+    copies, blocked = [], order_minhash._blocked
+
+    def noted(pairs):
+        done = blocked(pairs)
+        copies.append(done.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0])
+        return done
+
+    monkeypatch.setattr(order_minhash, "_blocked", noted)
+    drawn, shares = np.random.default_rng(6), []
+    word = lambda: f"w{drawn.integers(1 << 40)}"
+    passage = " ".join(f"p{i}" for i in range(60))
+    for number in (150, 600):
+        texts = [" ".join([word() for _ in range(20)] + [passage] + [word() for _ in range(20)]) for _ in range(number)]
+        texts += [text + " and more" for text in texts[:5]]  # copies among them are found
+        found = dict(rows_of(near_duplicates(docs(spark, doc_rows(texts)))))
+        assert found == {i: i if i < number else i - number for i in range(number + 5)}
+        shares.append(copies[-1] / number)  # the last one blocks the texts unlike their leader
+        copies.clear()
+    assert max(shares) < 0.5
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from("abcdefgh"), min_size=1, max_size=40), st.data())
+def test_similar_texts_share_one_of_their_first_shingles(found, data):
+    other = list(found)
+    for _ in range(data.draw(st.integers(0, 8))):
+        other.insert(data.draw(st.integers(0, len(other))), data.draw(st.sampled_from("abcdefghi")))
+    sides = [order_minhash.labelled_shingles(x) for x in (found, other)]
+    order = {s: data.draw(st.integers(0, 3)) for s in sorted({*sides[0].tolist(), *sides[1].tolist()})}
+    firsts = []
+    for side in sides:
+        batch = pa.RecordBatch.from_arrays([pa.array([b"x"]), pa.array([side.tobytes()])], names=["content", "shingles"])
+        rows = [r for b in order_minhash._speller(0.8)([batch]) for r in b.to_pylist()]
+        spelled = sorted((np.uint64(r["shingle"] % (1 << 64)).item() for r in rows), key=lambda s: (order[s], s))
+        firsts.append(set(spelled[: len(side) - rows[0]["needed"] + 1]))
+    if order_minhash.similarity(*sides, 0.8):
+        assert firsts[0] & firsts[1]
+
+
 def test_odd_texts_have_defined_classes(spark):
     rows = [
         (1, None, None, None, None), (2, "", "en", "s", 0), (3, "...", "en", "s", 3), (4, "One two", "en", "s", 7),
