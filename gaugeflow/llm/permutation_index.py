@@ -6,6 +6,8 @@ own. Within a file the footrule distance of the two orders ranks the vectors,
 and the nearest share of them is ranked again by the true inner product.
 """
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -17,10 +19,16 @@ from gaugeflow.llm.vectors import encoded_vectors, matrix
 
 _BLOCK_ROWS = 4096
 _BLOCK_QUERIES = 1024
+_LEAST_PIVOTS, _MOST_PIVOTS = 128, 4096
 _POSTED = "file int, block int, vec_id long, vec binary, pivots binary"
 _HITS = "query_id long, vec_id long, score double"
 
 
+def pivots_for(rows: int) -> int:
+    """Twelve times the cube root: files grow slower than the table, and their share falls."""
+    return min(_MOST_PIVOTS, max(_LEAST_PIVOTS, math.ceil(12 * rows ** (1 / 3))))
+
+
 def _pivots(rows: DataFrame, number: int, seed: int) -> dict[int, np.ndarray]:
     """Up to ``number`` vectors for each vector length, drawn by hash."""
     drawn: dict[int, np.ndarray] = {}
@@ -61,11 +69,22 @@ def _poster(pivots: dict[int, np.ndarray], length: int, files: int):
 
 
 def _places(blobs: list[bytes], width: int) -> np.ndarray:
-    """Place of every pivot in each order; pivots not in it come after the last."""
+    """For every pivot its place in each order; pivots not in it come after the last."""
     order = np.frombuffer(b"".join(blobs), dtype="<u2").reshape(len(blobs), -1)
     places = np.full((len(blobs), width), order.shape[1], dtype=np.int16)
     np.put_along_axis(places, order.astype(np.int64), np.arange(order.shape[1], dtype=np.int16)[None, :], axis=1)
-    return places
+    return np.ascontiguousarray(places.T)
+
+
+def _footrules(places: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Footrule distances of the ``places`` of many orders to one, less a constant.
+
+    An order's places from its end add up to the same in every order, so a pivot that
+    only the other order has need not be looked at.
+    """
+    theirs = places[order]
+    own = np.arange(len(order), dtype=np.int16)[:, None]
+    return (np.abs(theirs - own) + theirs).sum(axis=0, dtype=np.int32)
 
 
 def _searcher(pivots: dict[int, np.ndarray], nearest: int, rerank: float):
@@ -77,13 +96,13 @@ def _searcher(pivots: dict[int, np.ndarray], nearest: int, rerank: float):
             width = widths[key[0] // 65536]
             ids, vectors = rows["vec_id"].to_numpy(), matrix(rows["vec"].tolist())
             places = _places(rows["pivots"].tolist(), width)
-            asked = _places(queries["pivots"].tolist(), width)
+            asked = [np.frombuffer(blob, dtype="<u2") for blob in queries["pivots"]]
             most = max(nearest + 1, int(np.ceil(rerank * len(ids))))
             for number, blob in enumerate(queries["vec"]):
                 query_id, query = queries["vec_id"].iat[number], matrix([blob])[0]
                 near = np.arange(len(ids))
                 if most < len(ids):
-                    footrule = np.abs(places - asked[number]).sum(axis=1, dtype=np.int32)
+                    footrule = _footrules(places, asked[number])
                     near = np.flatnonzero(footrule <= np.partition(footrule, most - 1)[most - 1])
                 near = near[ids[near] != query_id]
                 score = vectors[near] @ query
@@ -138,10 +157,10 @@ def nearest_vectors(
     embeddings: DataFrame,
     is_query,
     nearest: int = 20,
-    pivots: int = 128,
-    order: int = 32,
+    pivots: int | None = None,
+    order: int = 64,
     posted_in: int = 8,
-    asked_in: int = 32,
+    asked_in: int = 40,
     rerank: float = 0.35,
     seed: int = 7,
 ) -> DataFrame:
@@ -154,12 +173,13 @@ def nearest_vectors(
     Other columns are ignored, an empty table gives an empty result.
 
     Vectors stand in the files of their ``posted_in`` nearest of ``pivots`` pivots
-    (a bounded sample); queries ask ``asked_in`` files and rank the ``rerank`` share
+    (a bounded sample, by default ``pivots_for`` the rows); queries ask ``asked_in`` files and rank the ``rerank`` share
     with the least footrule distance again. A query that finds fewer than
     ``nearest`` rows asks all files and ranks everything.
     """
     rows = encoded_vectors(embeddings, label=None).where("vec IS NOT NULL")
     rows = stored(rows.select("vec_id", "vec").dropDuplicates(["vec_id", "vec"]), "vectors")
+    pivots = pivots or pivots_for(rows.count())
     points = _pivots(rows, pivots, seed)
     posted = stored(rows.mapInArrow(_poster(points, order, posted_in), _POSTED), "posted")
     asking = rows.where(is_query)

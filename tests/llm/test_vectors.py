@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeflow.llm import rp_forest
-from gaugeflow.llm.permutation_index import nearest_vectors
+from gaugeflow.llm.permutation_index import _footrules, _places, nearest_vectors, pivots_for
 from gaugeflow.llm.rp_forest import link_vectors
 
 from .helpers import VECTORS, rows_of, table
@@ -142,6 +142,39 @@ def test_recall_and_scores_against_brute_force(spark):
     assert hits >= 0.9 * 20 * len(queries)
 
 
+def test_footrules_are_those_over_all_pivots():
+    drawn = np.random.default_rng(2)
+    orders = np.array([drawn.permutation(40)[:12] for _ in range(50)], dtype="<u2")
+    places = _places([o.tobytes() for o in orders], 40)
+    slow = np.abs(places.T[:, None].astype(int) - places.T[None].astype(int)).sum(axis=2)
+    for i, order in enumerate(orders):
+        apart = _footrules(places, order) - slow[i]
+        assert (apart == apart[0]).all()
+
+
+def test_the_share_of_rows_looked_at_falls(spark):
+    shares = [8 * 40 / pivots_for(rows) for rows in (10_000, 50_000, 1_000_000)]
+    assert shares[0] > 1.4 * shares[1] > 2 * shares[2]
+    # Recall with half and with a fourth of the files of a search of 128 pivots.
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    vectors = {r["vec_id"]: np.array(r["embedding"], dtype=float) for r in rows.collect()}
+    ids, all_vectors = np.array(list(vectors)), np.array(list(vectors.values()))
+    for pivots in (256, 512):
+        found = nearest_vectors(rows, F.col("vec_id") % 100 == 0, pivots=pivots).collect()
+        by_query = {}
+        for row in found:
+            by_query.setdefault(row["query_id"], set()).add(row["vec_id"])
+        hits = 0
+        for query, got in by_query.items():
+            score = np.where(ids == query, -np.inf, all_vectors @ vectors[query])
+            hits += len(got & set(ids[np.argsort(-score)[:20]]))
+        assert len(by_query) == sum(i % 100 == 0 for i in ids)
+        if pivots == 256:
+            assert hits >= 0.9 * 20 * len(by_query)
+        else:  # that many pivots are for a larger table
+            assert hits >= 0.8 * 20 * len(by_query)
+
+
 def test_few_candidates_are_all_found_with_ties_by_id(spark):
     rows = [(i, [1.0, 1.0], None) for i in (0, 3, 2, 1)] + [(5, [0.0, 2.0], 1), (6, None, 1), (20, [-1.0, 0.0], 1)]
     rows += [(0, [1.0, 1.0], 1), (None, [1.0, 1.0], 1)]
