@@ -37,7 +37,7 @@ from gaugeflow.operators.alerts import low_pressure
 from gaugeflow.operators.latest import newest, newest_over_base
 from gaugeflow.operators.stats import stats_cells
 from gaugeflow.schemas import MEASURES, STATS_CELLS
-from gaugeflow.session import sized_shuffle
+from gaugeflow.session import many_folders_listed, many_folders_written, sized_shuffle
 from gaugeflow.sources import storage
 
 # The column families and their cells.
@@ -150,13 +150,18 @@ class WideTable:
     ) -> str:
         """Write one batch by day.
 
-        Rows that are not ``placed`` already are brought together by day, a busy day
-        in several tasks and small ones in one, so that a batch writes a few files a
-        day and not one for each day in each task.
+        Rows that are not ``placed`` already, by a ``day`` column, are brought together
+        by day, a busy day in several tasks and small ones in one, so that a batch
+        writes a few files a day and not one for each day in each task. Many days of
+        a few rows each still take several tasks.
         """
-        rows = rows.select("rowkey", *FAMILIES[family], "version", day_folder().alias("day"))
-        rows = rows if placed else rows.hint("rebalance", "day")
-        return storage.write_batch(rows, self.folder(family), run, batch, "day")
+        columns = ("rowkey", *FAMILIES[family], "version")
+        if placed:
+            rows = rows.select(*columns, "day")
+        else:
+            rows = rows.select(*columns, day_folder().alias("day")).hint("rebalance", "day")
+        with many_folders_written(rows.sparkSession):
+            return storage.write_batch(rows, self.folder(family), run, batch, "day")
 
     def put_readings(
         self, sensor: DataFrame, run: str, batch: int, owner: str | None = None
@@ -263,7 +268,8 @@ class WideTable:
         names = [*storage.RUN_AND_BATCH, StructField("day", StringType())]
         schema = StructType(self._schema(family).fields + names)
         reader = spark.read.schema(schema).option("basePath", self.folder(family))
-        return reader.parquet(*folders)
+        with many_folders_listed(spark):
+            return reader.parquet(*folders)
 
     def versions(self, family: str) -> DataFrame:
         """Every stored version of a family's rows."""
@@ -286,11 +292,19 @@ class WideTable:
         return found
 
     def folders(self, family: str, days: set[str] | None = None) -> list[str]:
-        """The family's folder, or those that hold the given days."""
+        """The family's folder, or those that hold the given days.
+
+        A batch that holds no other days is one folder.
+        """
         if days is None:
             return [self.folder(family)]
-        held = self._batches(family).items()
-        return [self._folder_of(family, *name, day) for name, here in held for day in sorted(here & days)]
+        found = []
+        for name, here in self._batches(family).items():
+            if here and here <= days:
+                found.append(self._folder_of(family, *name))
+            else:
+                found += [self._folder_of(family, *name, day) for day in sorted(here & days)]
+        return found
 
     def family(self, family: str, days: set[str] | None = None) -> DataFrame:
         """The family's current rows: the newest version per row key.
@@ -303,15 +317,19 @@ class WideTable:
         """
         # First the files, then the names: a batch that arrives in between
         # makes its days contested, and its rows come with the next read.
-        versions, cells = self.versions(family), FAMILIES[family]
+        cells = FAMILIES[family]
+        if days is None:
+            versions = self.versions(family)
+        elif here := self.folders(family, days):
+            # Of a batch read as one folder, a retry may have brought other days.
+            versions = _on(self._stored(self.spark, family, *here), days)
+        else:
+            return self.versions(family).select("rowkey", *cells).limit(0)
         batches = self._batches(family)
         settled, contested = _settled_and_contested(batches)
         over_base = _held_by_one_base(batches) & contested
         if days is not None:
             settled, contested, over_base = settled & days, contested & days, over_base & days
-            if not (here := self.folders(family, days)):
-                return versions.select("rowkey", *cells).limit(0)
-            versions = self._stored(self.spark, family, *here)
         if not settled and not over_base:
             return newest(versions, cells, "version")
         if not contested:
@@ -459,8 +477,7 @@ class WideTable:
                     (*FAMILIES[family], "version"),
                     "version",
                 )
-                order = (day_folder(), F.col("rowkey"))
-                base = last.repartitionByRange(*order).sortWithinPartitions(*order)
+                base = _in_order(last)
                 number = self._claim(f"base-{family}", max(bases, default=-1) + 1)
                 if family == "data":
                     self._note_unseen(number, {n: d for n, d in batches.items() if n in tail}, {
@@ -521,6 +538,17 @@ def _held_by_one_base(batches: dict[tuple[str, int], set[str]]) -> set[str]:
     return {day for day, count in held.items() if count == 1}
 
 
+def _in_order(rows: DataFrame) -> DataFrame:
+    """Rows with their day, by day and row key.
+
+    The day is a column before the rows are ordered: a sort by its expression would
+    work it out again in every comparison.
+    """
+    order = ("day", "rowkey")
+    placed = rows.withColumn("day", day_folder())
+    return placed.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def _on(versions: DataFrame, days: set[str]) -> DataFrame:
     return versions.where(F.col("day").isin(sorted(days)))
 

@@ -19,6 +19,9 @@ DEFAULTS = {
 # A shuffled row is about twice as large as the compressed Parquet it came from.
 _SHUFFLE_EXPANSION = 2
 _BYTES_PER_PARTITION = 256 * 1024 * 1024
+# Shuffled bytes that a task is worth when each folder it writes costs far more.
+_LEAST_TASK_BYTES = "16k"
+_LISTING_TASKS_PER_CORE = 2
 
 
 def get_session(app_name: str = "gaugeflow", **conf: str) -> SparkSession:
@@ -55,10 +58,33 @@ def sized_shuffle(spark: SparkSession, *paths: str) -> Iterator[int]:
     """
     size = sum(storage.size(spark, path) for path in paths)
     wanted = math.ceil(size * _SHUFFLE_EXPANSION / _BYTES_PER_PARTITION)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    partitions = max(int(before), wanted)
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    try:
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    with setting(spark, "spark.sql.shuffle.partitions", str(partitions)):
         yield partitions
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Inside, the session has another value for a setting; its own comes back."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set(name, before)
+
+
+def many_folders_written(spark: SparkSession):
+    """Inside, a few rows for many folders are written by several tasks.
+
+    Adaptive execution merges partitions up to its least size, which a folder of a few
+    rows does not reach: one task would then open the files of all folders in turn.
+    """
+    return setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", _LEAST_TASK_BYTES)
+
+
+def many_folders_listed(spark: SparkSession):
+    """Inside, a read lists many folders in a few tasks a core, not in one task each."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    tasks = _LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    return setting(spark, name, str(min(tasks, int(spark.conf.get(name)))))

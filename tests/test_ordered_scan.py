@@ -174,9 +174,66 @@ def test_a_busy_day_is_split_over_tasks(spark, tmp_path):
     assert made.family("data").count() == 40_000
 
 
+def test_few_rows_of_many_days_are_written_by_several_tasks(spark, tmp_path):
+    made = table(spark, tmp_path)
+    lines = spark.range(12000).select(
+        F.col("id").alias("offset"),
+        F.concat_ws(
+            ",", F.concat(F.lit("s"), F.col("id") % 97), F.concat(F.lit("1/"), F.col("id") % 60, F.lit("/24")),
+            F.col("id"), *[F.pmod(F.xxhash64("id", F.lit(m)), F.lit(64)) / 16 for m in range(6)],
+        ).alias("value"),
+    )
+    made.put_readings(parse_sensor(lines, keep=("offset",)), "first", 0)
+    version = write_daily_stats(made)
+    for family, run, batch in (("alert", "first", 0), ("stats", "stats", version)):
+        files = list(Path(made.folder(family), f"run={run}", f"batch={batch}").rglob("*.parquet"))
+        assert len(files) == 60 and len({f.name[:10] for f in files}) > 1
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.minPartitionSize") in ("1MB", "1048576b")
+    assert stats_rows(made) == full_stats(spark, made)
+
+
+def test_many_days_are_listed_in_few_tasks(spark, tmp_path):
+    made, context = table(spark, tmp_path), spark.sparkContext
+    put(spark, made, readings([day(i) for i in range(60)], times=("0:00",)))
+    context.setJobGroup("listing", "listing")
+    try:
+        versions = made.versions("data")
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            context.setLocalProperty(name, None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    tasks = [tracker.getStageInfo(stage).numTasks for stage in stages]
+    assert tasks and max(tasks) <= 2 * context.defaultParallelism
+    assert versions.count() == 120
+
+
 # Statistics of changed days
 
 
+def test_a_batch_of_wanted_days_is_one_folder(spark, tmp_path):
+    made = table(spark, tmp_path)
+    put(spark, made, readings([day(i) for i in range(4)]))
+    put(spark, made, readings([day(1), day(2)], psi=7.0), 100, batch=1)
+    days = {"d1-2-24", "d1-3-24"}
+    found = [f.removeprefix(made.folder("data")) for f in made.folders("data", days)]
+    assert sorted(found) == [
+        "/run=first/batch=0/day=d1-2-24", "/run=first/batch=0/day=d1-3-24", "/run=first/batch=1"
+    ]
+    wanted = F.col("rowkey").rlike("_1/[23]/24 ")
+    assert rows(made.family("data", days)) == rows(made.family("data").where(wanted))
+    assert made.family("data", {"d9-9-99"}).count() == 0
+
+
+def test_a_batch_replaced_while_it_is_read_brings_no_other_days(spark, tmp_path, monkeypatch):
+    made = table(spark, tmp_path)
+    put(spark, made, readings([day(1)]))
+    put(spark, made, readings([day(1), day(2)], psi=7.0), 100, batch=1)
+    whole = [f"{made.folder('data')}/run=first/batch={batch}" for batch in (0, 1)]
+    monkeypatch.setattr(wide_table.WideTable, "folders", lambda *_: whole)  # listed before the retry
+    assert {r["rowkey"].split()[0][2:] for r in made.family("data", {"d1-2-24"}).collect()} == {day(1)}
+
+
 def stats_rows(made):
     return rows(made.family("stats"))
 

@@ -148,3 +148,21 @@ def test_no_query_runs_python_per_row(spark):
         text = plan(query(spark, SF_DIR))
         for node in ("Python", "CartesianProduct", "BroadcastNestedLoop", "SinglePartition, REPARTITION"):
             assert node not in text, (name, node)
+
+
+def test_compaction_sorts_by_a_day_that_is_worked_out_once(spark, tmp_path, monkeypatch):
+    made, plans = table(spark, tmp_path), []
+    lines = frame(spark, [line(f"s{i}", psi=i) for i in range(9)], offsets=True)
+    made.put_readings(parse_sensor(lines, keep=("offset",)), "first", 0)
+    put = wide_table.WideTable._put
+
+    def spied(self, rows, *args, **kwargs):
+        plans.append(plan(rows))
+        return put(self, rows, *args, **kwargs)
+
+    monkeypatch.setattr(wide_table.WideTable, "_put", spied)
+    made.compact("data", idle=True)
+    (text,) = plans
+    ordering = [part for part in text.splitlines() if " Sort " in part or "rangepartitioning" in part]
+    assert len(ordering) == 2 and not any("regexp_replace" in part for part in ordering)
+    assert made.row_count().first()["rows"] == 9
